@@ -61,7 +61,7 @@ def match_pairs(versions: DataFrame, pairs: Sequence[tuple[str, str]] | DataFram
     team_c = F.col(team) if isinstance(team, str) else team
     type_c = F.col(type_) if isinstance(type_, str) else type_
     keyed = versions.withColumn("_team", trim_upper(team_c)).withColumn("_type", trim_upper(type_c))
-    return keyed.join(p, ["_team", "_type"], "left_semi").drop("_team", "_type")
+    return keyed.join(p, ["_team", "_type"], "left_semi").select(*versions.columns)
 
 
 def exclude(df: DataFrame, ids, key: str = "job_id") -> DataFrame:
@@ -69,7 +69,7 @@ def exclude(df: DataFrame, ids, key: str = "job_id") -> DataFrame:
     ids excludes nothing else (unlike SQL ``NOT IN``)."""
     if not isinstance(ids, DataFrame) and len(list(ids)) == 0:
         return df
-    return df.join(ids_frame(df.sparkSession, ids, key), key, "left_anti")
+    return df.join(ids_frame(df.sparkSession, ids, key), key, "left_anti").select(*df.columns)
 
 
 def discover(versions: DataFrame, pairs, excluded=(), workspace_id: str | None = None,
@@ -99,6 +99,6 @@ def find_by_name(versions: DataFrame, name: str, workspace_id: str | None = None
     named = F.lower(F.col("name")) == F.lower(F.lit(name))
     keys = ["workspace_id", "job_id"]
     candidates = versions.where(named).select(*keys).distinct()
-    history = versions.join(candidates, keys, "left_semi")
+    history = versions.join(candidates, keys, "left_semi").select(*versions.columns)
     latest = live(latest_versions(history, tie_break=tie_break))
     return latest.where(named).select("job_id").orderBy("job_id").limit(1)

@@ -78,7 +78,7 @@ def select_new(payloads: DataFrame, starts: DataFrame, start_col: str = "start_t
     lowest = starts.select(F.min("fetch_from")).scalar()
     recent = payloads.where(F.col(start_col) >= lowest)
     joined = recent.join(starts.select(key, "fetch_from"), key)
-    return joined.where(F.col(start_col) >= F.col("fetch_from")).drop("fetch_from")
+    return joined.where(F.col(start_col) >= F.col("fetch_from")).select(*payloads.columns)
 
 
 def _one_output_per_run(outputs: DataFrame) -> DataFrame:

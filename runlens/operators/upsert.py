@@ -57,7 +57,7 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
         source = latest_per_key(source, keys, order)
     if target is None:
         return source
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(source, allowMissingColumns=True)
 
 

@@ -29,7 +29,7 @@ from runlens.sources import payloads as PL
 # Parameters of the registered queries.
 PAIRS = [("building", "prod"), ("BUILDING ", "PROD"), ("machinery", " dev "), ("AUTOMOBILE", "prod")]
 EXCLUDED = [7, 14, 21]
-FIND_NAME = "customer#000000042"
+FIND_NAME = "customer#000000013"
 HOST = "jobs.example.com"
 JOB_CUT = "1999-01-01"          # job versions before / after an earlier load
 RUN_CUT = "2000-01-01"          # the earlier run load
