@@ -43,10 +43,13 @@ class StagingEmpty(RuntimeError):
 
 
 def _parsed(payloads: DataFrame, schema, column: str) -> tuple[DataFrame, DataFrame]:
-    if column in payloads.columns:
+    """(good, bad) payload rows: JSON text in ``column`` is parsed; already
+    parsed documents are split on their corrupt-record column if any."""
+    if column and column in payloads.columns:
         return PL.split_bad(PL.parse_json(payloads, column, schema))
-    empty = payloads.limit(0)
-    return payloads, empty
+    if PL.CORRUPT in payloads.columns:
+        return PL.split_bad(payloads)
+    return payloads, payloads.limit(0)
 
 
 def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: DataFrame | None = None,
@@ -112,6 +115,10 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
     new = I.select_new(good, starts)
     if staged:
         new = stage(new)
+        if new.isEmpty():                      # nothing new: the tables stay as they are
+            empty_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
+            return Batch(runs if runs is not None else FL.flatten_runs(new),
+                         tasks if tasks is not None else empty_tasks, empty_tasks, bad)
     new_runs = FL.flatten_runs(new)
     new_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
     if staged:
@@ -122,19 +129,32 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
     return Batch(runs_out, tasks_out, new_tasks, bad)
 
 
+class Published(NamedTuple):
+    paths: dict            # table -> new version folder
+    rows: dict             # table -> rows written
+
+
 def publish(batch: Batch, version: str | int, base: str | None = None,
-            partition_runs: Sequence[str] | None = None) -> dict[str, str]:
-    """Check and write both tables of a batch as new versions; return the
-    paths. Keys are checked unique before anything is written; the task
-    table is written from the written run version's lineage-free state, so
-    a lost executor re-reads files, not the whole batch plan."""
+            partition_runs: Sequence[str] | None = None) -> Published:
+    """Check and write both tables of a batch as new versions.
+
+    Keys are checked unique before anything is written. Each table goes to
+    its own new version folder; a failure part way leaves every earlier
+    version whole, and the caller switches to the new paths only after this
+    returns. Row counts are observed during the writes (no extra job).
+    """
+    from pyspark.sql import Observation
+
     spark = batch.runs.sparkSession
     base = base or TB.version_path(checkpoint_dir(spark), "tables", "")
     U.check_unique(batch.runs, ["job_run_id"])
     U.check_unique(batch.tasks, ["task_run_id"])
-    runs_path = TB.write_version(batch.runs, base, "job_run_details", version, partition_runs)
-    tasks_path = TB.write_version(batch.tasks, base, "task_run_details", version)
-    return {"job_run_details": runs_path, "task_run_details": tasks_path}
+    seen = {name: Observation(name) for name in ("job_run_details", "task_run_details")}
+    runs = batch.runs.observe(seen["job_run_details"], F.count(F.lit(1)).alias("rows"))
+    tasks = batch.tasks.observe(seen["task_run_details"], F.count(F.lit(1)).alias("rows"))
+    paths = {"job_run_details": TB.write_version(runs, base, "job_run_details", version, partition_runs),
+             "task_run_details": TB.write_version(tasks, base, "task_run_details", version)}
+    return Published(paths, {k: o.get["rows"] for k, o in seen.items()})
 
 
 def with_run_day(runs: DataFrame) -> DataFrame:

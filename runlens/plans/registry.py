@@ -40,12 +40,16 @@ TOP_K = 3
 DESIRED_TAGS = {"Team": "BUILDING", "Project": "Proj3", "Owner": "  ", "CostCenter": "x"}
 
 
+def _L(spark, sf) -> FX.Landed:
+    return FX.landed(spark, sf)
+
+
 def _jobs_norm(spark, sf):
-    return FL.normalise_tags(FX.jobs(spark, sf))
+    return FL.normalise_tags(_L(spark, sf).jobs)
 
 
 def _versions(spark, sf):
-    return FX.job_versions(spark, sf)
+    return _L(spark, sf).versions
 
 
 def _version_cols(df: DataFrame) -> DataFrame:
@@ -71,8 +75,7 @@ def q_normalised_tags(spark, sf):
 
 
 def q_flatten_jobs(spark, sf):
-    payloads = FX.job_payloads(FX.jobs(spark, sf))
-    good, _bad = PL.split_bad(PL.parse_json(payloads, "payload", schemas.JOB_PAYLOAD))
+    good, _bad = PL.split_bad(_L(spark, sf).job_payloads)
     jobs = FL.flatten_jobs(good, host=HOST)
     return jobs.select(
         *[c for c in jobs.columns if c not in (
@@ -81,8 +84,7 @@ def q_flatten_jobs(spark, sf):
 
 
 def _parsed_runs(spark, sf):
-    runs, tasks = FX.runs(spark, sf), FX.tasks(spark, sf)
-    good, _bad = PL.split_bad(PL.parse_json(FX.run_payloads(runs, tasks), "payload", schemas.RUN_PAYLOAD))
+    good, _bad = PL.split_bad(_L(spark, sf).run_payloads)
     return good
 
 
@@ -113,32 +115,33 @@ def q_json_props(spark, sf):
 
 
 def q_monitored_jobs(spark, sf):
-    return I.monitored_jobs(FX.jobs(spark, sf), FX.runs(spark, sf))
+    L = _L(spark, sf)
+    return I.monitored_jobs(L.jobs, L.runs)
 
 
 def q_watermarks(spark, sf):
-    return I.watermarks(FX.runs(spark, sf))
+    return I.watermarks(_L(spark, sf).runs)
 
 
 def q_fetch_from(spark, sf):
-    jobs, runs = FX.jobs(spark, sf), FX.runs(spark, sf)
-    return I.fetch_from(runs, I.monitored_jobs(jobs, runs))
+    L = _L(spark, sf)
+    return I.fetch_from(L.runs, I.monitored_jobs(L.jobs, L.runs))
 
 
 def _snapshot(spark, sf):
-    return FX.runs_snapshot(FX.runs(spark, sf), RUN_CUT, RUN_BAND)
+    return FX.runs_snapshot(_L(spark, sf).runs, RUN_CUT, RUN_BAND)
 
 
 def q_select_new(spark, sf):
-    jobs, old = FX.jobs(spark, sf), _snapshot(spark, sf)
+    jobs, old = _L(spark, sf).jobs, _snapshot(spark, sf)
     starts = I.fetch_from(old, I.monitored_jobs(jobs, old))
     new = I.select_new(_parsed_runs(spark, sf), starts)
     return new.select("run_id", "job_id", "start_time")
 
 
 def _enriched(spark, sf):
-    tasks = FX.tasks(spark, sf)
-    return I.enrich_failures(I.conform_tasks(tasks), FX.run_outputs(tasks))
+    L = _L(spark, sf)
+    return I.enrich_failures(I.conform_tasks(L.tasks), L.outputs)
 
 
 def q_enrich_failures(spark, sf):
@@ -152,13 +155,13 @@ def _task_batch(tasks: DataFrame) -> DataFrame:
 
 
 def q_backfill_candidates(spark, sf):
-    tasks = FX.tasks(spark, sf)
+    tasks = _L(spark, sf).tasks
     return I.backfill_candidates(tasks, _task_batch(tasks))
 
 
 def q_fill_attempt_ids(spark, sf):
-    tasks = FX.tasks(spark, sf)
-    out = I.fill_attempt_ids(tasks, _task_batch(tasks), FX.run_outputs(tasks))
+    L = _L(spark, sf)
+    out = I.fill_attempt_ids(L.tasks, _task_batch(L.tasks), L.outputs)
     return out.select("task_run_id", "task_original_attempt_run_id")
 
 
@@ -179,7 +182,7 @@ def _run_cols(df: DataFrame) -> DataFrame:
 
 
 def q_upsert_runs(spark, sf):
-    runs = FX.runs(spark, sf)
+    runs = _L(spark, sf).runs
     batch = runs.where(F.col("job_start_time") >= ms_of(RUN_BAND))
     return _run_cols(U.upsert(_snapshot(spark, sf), batch, ["job_run_id"]))
 
@@ -203,7 +206,8 @@ def q_mark_missing(spark, sf):
 
 
 def q_run_details(spark, sf):
-    d = DT.run_details(FX.tasks(spark, sf), FX.runs(spark, sf), _jobs_norm(spark, sf), ntz=True)
+    L = _L(spark, sf)
+    d = DT.run_details(L.tasks, L.runs, _jobs_norm(spark, sf), ntz=True)
     return d.select(
         "task_run_id", "job_run_id", "job_id", "job__name", *DT.TIME_COLUMNS,
         "job_elapsed_time_sec", "task_elapsed_time_sec", *[f"{c}_sec" for c in DT.SECOND_COLUMNS],
@@ -217,40 +221,41 @@ def q_inventory(spark, sf):
 
 
 def q_top_failed_jobs(spark, sf):
-    return R.top_failed_jobs(FX.runs(spark, sf), _jobs_norm(spark, sf), FAIL_FROM, FAIL_TO, k=TOP_K)
+    return R.top_failed_jobs(_L(spark, sf).runs, _jobs_norm(spark, sf), FAIL_FROM, FAIL_TO, k=TOP_K)
 
 
 def q_failure_trend(spark, sf):
-    return R.failure_trend(FX.event_runs(spark, sf), ntz=True)
+    return R.failure_trend(_L(spark, sf).event_runs, ntz=True)
 
 
 def q_recurring_errors(spark, sf):
-    d = DT.run_details(_enriched(spark, sf), FX.runs(spark, sf), _jobs_norm(spark, sf), ntz=True)
+    d = DT.run_details(_enriched(spark, sf), _L(spark, sf).runs, _jobs_norm(spark, sf), ntz=True)
     return R.recurring_errors(d, min_count=2)
 
 
 def q_long_running(spark, sf):
-    return R.long_running(I.conform_runs(FX.event_runs(spark, sf)), elapsed="duration", ntz=True)
+    return R.long_running(I.conform_runs(_L(spark, sf).event_runs), elapsed="duration", ntz=True)
 
 
 def q_latest_status(spark, sf):
-    return R.latest_status(FX.event_runs(spark, sf), ntz=True)
+    return R.latest_status(_L(spark, sf).event_runs, ntz=True)
 
 
 def q_standards_flags(spark, sf):
-    return R.standards_flags(FX.jobs(spark, sf))
+    return R.standards_flags(_L(spark, sf).jobs)
 
 
 def q_standards_summary(spark, sf):
-    return R.standards_summary(FX.jobs(spark, sf))
+    return R.standards_summary(_L(spark, sf).jobs)
 
 
 def q_sanity_counts(spark, sf):
-    return R.sanity_counts(spark, _jobs_norm(spark, sf), FX.runs(spark, sf), FX.tasks(spark, sf))
+    L = _L(spark, sf)
+    return R.sanity_counts(spark, _jobs_norm(spark, sf), L.runs, L.tasks)
 
 
 def _plan(spark, sf):
-    return TG.plan_tags(FX.job_tags(FX.jobs(spark, sf)), DESIRED_TAGS, overwrite=True, dry_run=True)
+    return TG.plan_tags(FX.job_tags(_L(spark, sf).jobs), DESIRED_TAGS, overwrite=True, dry_run=True)
 
 
 def q_plan_tags(spark, sf):
@@ -267,13 +272,11 @@ def q_tag_summary(spark, sf):
 
 
 def _batch(spark, sf):
-    tasks = FX.tasks(spark, sf)
+    L = _L(spark, sf)
     old_runs = _snapshot(spark, sf)
-    old_tasks = tasks.join(old_runs.select(F.col("job_run_id").alias("task_job_run_id")), "task_job_run_id",
-                           "left_semi")
-    payloads = FX.run_payloads(FX.runs(spark, sf), tasks)
-    return LD.load_batch(FX.jobs(spark, sf), I.conform_runs(old_runs), I.conform_tasks(old_tasks),
-                         payloads, FX.run_outputs(tasks))
+    old_tasks = L.tasks.join(old_runs.select(F.col("job_run_id").alias("task_job_run_id")), "task_job_run_id",
+                             "left_semi")
+    return LD.load_batch(L.jobs, I.conform_runs(old_runs), I.conform_tasks(old_tasks), L.run_payloads, L.outputs)
 
 
 def q_incremental_runs(spark, sf):

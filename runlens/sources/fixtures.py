@@ -8,6 +8,8 @@ flat rows back into scheduler documents so parsing runs at full size.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -266,3 +268,67 @@ def run_payloads(runs_df: DataFrame, tasks_df: DataFrame) -> DataFrame:
         F.col("tasks"),
     )
     return r.select("job_run_id", "job_id", F.to_json(doc).alias("payload"))
+
+
+# --- landed tables: the derived telemetry written once per session ----------
+
+class Landed(NamedTuple):
+    versions: DataFrame       # job version history (parquet)
+    jobs: DataFrame           # flat jobs, tags as given (parquet)
+    runs: DataFrame           # flat runs (parquet)
+    tasks: DataFrame          # flat tasks, one per key (parquet)
+    outputs: DataFrame        # failed-task outputs (parquet)
+    event_runs: DataFrame     # dense run history (parquet)
+    job_payloads: DataFrame   # job documents read from JSON-lines files
+    run_payloads: DataFrame   # run documents read from JSON-lines files
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+_TABLES = ("versions", "jobs", "runs", "tasks", "outputs", "event_runs")
+
+
+def land(spark: SparkSession, sf_dir: str) -> str:
+    """Write the derived telemetry of ``sf_dir`` below the shared checkpoint
+    folder (once per session and input folder) and return the folder."""
+    import hashlib
+    import os
+
+    from runlens.session import checkpoint_dir
+    from runlens.sources.payloads import parse_json
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key in _LANDED:
+        return _LANDED[key]
+    tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
+    base = os.path.join(checkpoint_dir(spark), "runlens-landed", key[0], tag)
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        path = os.path.join(base, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    put(job_versions(spark, sf_dir), "versions")
+    jobs_df = put(jobs(spark, sf_dir), "jobs")
+    runs_df = put(runs(spark, sf_dir), "runs")
+    tasks_df = put(tasks(spark, sf_dir), "tasks")
+    put(run_outputs(tasks_df), "outputs")
+    put(event_runs(spark, sf_dir), "event_runs")
+    (parse_json(job_payloads(jobs_df), "payload", schemas.JOB_PAYLOAD).drop("_corrupt_record")
+     .write.mode("overwrite").json(os.path.join(base, "job_payloads")))
+    (parse_json(run_payloads(runs_df, tasks_df), "payload", schemas.RUN_PAYLOAD).drop("_corrupt_record")
+     .write.mode("overwrite").json(os.path.join(base, "run_payloads")))
+    _LANDED[key] = base
+    return base
+
+
+def landed(spark: SparkSession, sf_dir: str) -> Landed:
+    """The landed telemetry of ``sf_dir`` (written on first use)."""
+    import os
+
+    from runlens.sources.payloads import read_json_payloads
+
+    base = land(spark, sf_dir)
+    flat = [spark.read.parquet(os.path.join(base, t)) for t in _TABLES]
+    return Landed(*flat,
+                  read_json_payloads(spark, os.path.join(base, "job_payloads"), schemas.JOB_PAYLOAD),
+                  read_json_payloads(spark, os.path.join(base, "run_payloads"), schemas.RUN_PAYLOAD))

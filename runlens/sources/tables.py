@@ -36,6 +36,11 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def preview(df: DataFrame, n: int = 10) -> list:
+    """Up to ``n`` rows for a log line (reads only what it returns)."""
+    return df.limit(n).collect()
+
+
 def version_path(base: str, table: str, version: str | int) -> str:
     return os.path.join(base, table, f"v={version}")
 

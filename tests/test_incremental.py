@@ -131,6 +131,17 @@ def test_publish_writes_versions(spark):
     b = LD.load_batch(jobs, None, None, payload_df(spark, docs), spark.createDataFrame([], OUT))
     import uuid
 
-    paths = LD.publish(b, version=uuid.uuid4().hex)
-    assert spark.read.parquet(paths["job_run_details"]).count() == 1
-    assert spark.read.parquet(paths["task_run_details"]).count() == 1
+    out = LD.publish(b, version=uuid.uuid4().hex)
+    assert spark.read.parquet(out.paths["job_run_details"]).count() == 1
+    assert spark.read.parquet(out.paths["task_run_details"]).count() == 1
+    assert out.rows == {"job_run_details": 1, "task_run_details": 1}
+
+
+def test_load_batch_nothing_new(spark):
+    jobs = spark.createDataFrame([(1, "no")], JOBS)
+    docs = [run_doc(1, 1, 100, "TERMINATED", "SUCCESS", ["SUCCESS"])]
+    a = LD.load_batch(jobs, None, None, payload_df(spark, docs), spark.createDataFrame([], OUT))
+    nobody = spark.createDataFrame([(1, "yes")], JOBS)
+    b = LD.load_batch(nobody, a.runs, a.tasks, payload_df(spark, docs), spark.createDataFrame([], OUT))
+    assert rows(b.runs) == rows(a.runs) and rows(b.tasks) == rows(a.tasks)
+    assert b.new_tasks.count() == 0
