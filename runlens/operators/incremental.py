@@ -142,17 +142,26 @@ def backfill_candidates(tasks: DataFrame, batch: DataFrame,
             .select("task_run_id"))
 
 
+def attempt_fills(tasks: DataFrame, batch: DataFrame, outputs: DataFrame,
+                  results: Sequence[str] = BACKFILL_RESULTS) -> DataFrame:
+    """(task_run_id, ``_a``): original attempt ids from the output documents
+    for the backfill candidates that have one. Small: failed runs only."""
+    cand = backfill_candidates(tasks, batch, results)
+    return (outputs.select(F.col("run_id").cast("long").alias("task_run_id"),
+                           F.col("original_attempt_run_id").cast("long").alias("_a"))
+            .where(F.col("task_run_id").isNotNull() & F.col("_a").isNotNull())
+            .join(cand, "task_run_id", "left_semi")
+            .groupBy("task_run_id").agg(F.max("_a").alias("_a")))
+
+
 def fill_attempt_ids(tasks: DataFrame, batch: DataFrame, outputs: DataFrame,
                      results: Sequence[str] = BACKFILL_RESULTS) -> DataFrame:
     """Set ``task_original_attempt_run_id`` of the backfill candidates from
     the output documents, only where it is NULL."""
     from runlens.operators.upsert import fill_missing
 
-    cand = backfill_candidates(tasks, batch, results)
-    ids = (outputs.select(F.col("run_id").cast("long").alias("task_run_id"),
-                          F.col("original_attempt_run_id").cast("long").alias("_a"))
-           .join(cand, "task_run_id", "left_semi"))
-    return fill_missing(tasks, ids, "task_run_id", "task_original_attempt_run_id", source_column="_a")
+    fills = attempt_fills(tasks, batch, outputs, results)
+    return fill_missing(tasks, fills, "task_run_id", "task_original_attempt_run_id", source_column="_a")
 
 
 def conform(df: DataFrame, schema) -> DataFrame:

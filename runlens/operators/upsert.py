@@ -61,6 +61,33 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
+    """Partition values a keyed upsert must rewrite: those receiving a source
+    row, and those holding an old copy of a source key (a row whose
+    partition value changed moves out of its old partition). The old-copy
+    search reads only the key and partition columns; the result has one row
+    per partition value (days), a small side."""
+    keys = list(keys)
+    homes = (target.select(*keys, part_col)
+             .join(source.select(*keys).distinct(), keys, "left_semi").select(part_col))
+    return homes.union(source.select(part_col)).distinct()
+
+
+def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str,
+                      order: Sequence[Column] | None = None) -> DataFrame:
+    """The new contents of the touched partitions only (see
+    ``touched_partitions``); written with dynamic partition overwrite
+    (``sources.tables.write_partitions``) they give the same table as a full
+    ``upsert`` while the untouched partitions are neither read nor
+    rewritten. ``source`` must carry ``part_col``."""
+    keys = list(keys)
+    if order is not None:
+        source = latest_per_key(source, keys, order)
+    parts = touched_partitions(target, source, keys, part_col)
+    old = target.join(parts, part_col, "left_semi").select(*target.columns)
+    return upsert(old, source, keys)
+
+
 def mark_missing(target: DataFrame, seen, key: str = "job_id", flag: str = "is_job_deleted",
                  keep=None) -> DataFrame:
     """Set ``flag`` to 'yes' for rows whose key is not in ``seen``.

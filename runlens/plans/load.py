@@ -32,10 +32,12 @@ class JobLoad(NamedTuple):
 
 
 class Batch(NamedTuple):
-    runs: DataFrame        # the new run table
-    tasks: DataFrame       # the new task table
-    new_tasks: DataFrame   # this batch's tasks, enriched
-    bad: DataFrame         # run payloads that did not parse
+    runs: DataFrame           # the new run table
+    tasks: DataFrame          # the new task table
+    new_tasks: DataFrame      # this batch's tasks, enriched
+    bad: DataFrame            # run payloads that did not parse
+    changed_runs: DataFrame   # run rows that differ from the old table (the batch's runs)
+    changed_tasks: DataFrame  # task rows that differ: the batch's, and old ones given an attempt id
 
 
 class StagingEmpty(RuntimeError):
@@ -46,7 +48,8 @@ def _parsed(payloads: DataFrame, schema, column: str) -> tuple[DataFrame, DataFr
     """(good, bad) payload rows: JSON text in ``column`` is parsed; already
     parsed documents are split on their corrupt-record column if any."""
     if column and column in payloads.columns:
-        return PL.split_bad(PL.parse_json(payloads, column, schema))
+        extra = [c for c in payloads.columns if c != column and c not in schema.fieldNames()]
+        return PL.split_bad(PL.parse_json(payloads, column, schema, keep=extra))
     if PL.CORRUPT in payloads.columns:
         return PL.split_bad(payloads)
     return payloads, payloads.limit(0)
@@ -91,7 +94,8 @@ def stage(df: DataFrame) -> DataFrame:
 
 def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
                run_payloads: DataFrame, outputs: DataFrame, payload_column: str = "payload",
-               include_in_flight: bool = True, staged: bool = True) -> Batch:
+               include_in_flight: bool = True, staged: bool = True,
+               dedupe_order: Sequence | None = None) -> Batch:
     """One incremental batch.
 
     1. jobs to read: live jobs and jobs with runs in flight;
@@ -104,29 +108,45 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
        or cancelled task since the batch's oldest task start.
     ``runs``/``tasks`` None is the first load.
 
-    With ``staged`` the selected payloads and the enriched batch tasks are
-    checkpointed once (two small jobs, the size of the batch): the JSON is
-    parsed once, although the batch is used by both upserts, the backfill
-    bound and the candidate search. The old tables stay plain scans.
+    With ``staged`` three small results are checkpointed once: the per-job
+    start bounds (one row per job, read by both the global pruning bound
+    and the join), the selected payloads and the enriched batch tasks (the
+    JSON is parsed once although the batch feeds both upserts, the backfill
+    bound and the candidate search). The old tables stay plain scans. When
+    nothing is new the old tables are returned as they are.
+
+    A landing that keeps several snapshots of one run needs
+    ``dedupe_order`` (e.g. ``[F.col("landed_at").desc()]``): the first
+    snapshot per run id wins. Otherwise run ids must be unique per batch
+    (``publish`` checks).
     """
     good, bad = _parsed(run_payloads, schemas.RUN_PAYLOAD, payload_column)
     monitored = I.monitored_jobs(jobs, runs)
     starts = I.fetch_from(runs, monitored, include_in_flight=include_in_flight)
+    if staged:
+        starts = stage(starts)
     new = I.select_new(good, starts)
+    if dedupe_order is not None:
+        new = U.latest_per_key(new, ["run_id"], list(dedupe_order))
     if staged:
         new = stage(new)
-        if new.isEmpty():                      # nothing new: the tables stay as they are
-            empty_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
-            return Batch(runs if runs is not None else FL.flatten_runs(new),
-                         tasks if tasks is not None else empty_tasks, empty_tasks, bad)
+        if new.isEmpty():
+            no_runs = FL.flatten_runs(new)
+            no_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
+            return Batch(runs if runs is not None else no_runs, tasks if tasks is not None else no_tasks,
+                         no_tasks, bad, no_runs, no_tasks)
     new_runs = FL.flatten_runs(new)
     new_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
     if staged:
         new_tasks = stage(new_tasks)
     runs_out = U.upsert(runs, new_runs, ["job_run_id"])
-    tasks_out = U.upsert(tasks, new_tasks, ["task_run_id"])
-    tasks_out = I.fill_attempt_ids(tasks_out, new_tasks, outputs)
-    return Batch(runs_out, tasks_out, new_tasks, bad)
+    tasks_up = U.upsert(tasks, new_tasks, ["task_run_id"])
+    fills = I.attempt_fills(tasks_up, new_tasks, outputs)
+    tasks_out = U.fill_missing(tasks_up, fills, "task_run_id", "task_original_attempt_run_id",
+                               source_column="_a")
+    changed_keys = new_tasks.select("task_run_id").union(fills.select("task_run_id")).distinct()
+    changed_tasks = tasks_out.join(changed_keys, "task_run_id", "left_semi").select(*tasks_out.columns)
+    return Batch(runs_out, tasks_out, new_tasks, bad, new_runs, changed_tasks)
 
 
 class Published(NamedTuple):
@@ -157,7 +177,46 @@ def publish(batch: Batch, version: str | int, base: str | None = None,
     return Published(paths, {k: o.get["rows"] for k, o in seen.items()})
 
 
-def with_run_day(runs: DataFrame) -> DataFrame:
-    """Adds ``start_day`` (UTC date of the run start), a partition column for
-    the run table."""
-    return runs.withColumn("start_day", F.to_date(F.timestamp_millis("job_start_time")))
+def with_day(df: DataFrame, ms_col: str, name: str = "start_day") -> DataFrame:
+    """Adds the start day (zone-free date of an epoch-ms column) as the
+    partition column; start 0 falls on 1970-01-01."""
+    from runlens.functions import millis_to_ts
+
+    return df.withColumn(name, F.to_date(millis_to_ts(ms_col, ntz=True)))
+
+
+def _existing(spark, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str = "start_day") -> Published:
+    """Apply a batch to day-partitioned tables in place.
+
+    Only the changed rows (``changed_runs``/``changed_tasks``) are upserted,
+    and only into the partitions they touch (``upsert_partitions``), written
+    with dynamic partition overwrite: a batch costs the days it touches, not
+    the whole history. The task table is written first and the run table
+    last; the run table carries the watermark, so if the job stops between
+    the two writes the next batch re-reads the same runs and the keyed
+    upserts make the repeat harmless.
+    """
+    from pyspark.sql import Observation
+
+    spark = batch.runs.sparkSession
+    out_paths, counts = {}, {}
+    for name, path, changed, key, ms in (
+            ("task_run_details", tasks_path, batch.changed_tasks, "task_run_id", "task_start_time"),
+            ("job_run_details", runs_path, batch.changed_runs, "job_run_id", "job_start_time")):
+        src = with_day(changed, ms, part)
+        U.check_unique(src, [key])
+        old = _existing(spark, path)
+        new = src if old is None else U.upsert_partitions(old, src, [key], part)
+        seen = Observation(name)
+        TB.write_partitions(new.observe(seen, F.count(F.lit(1)).alias("rows")), path, [part])
+        out_paths[name], counts[name] = path, seen.get["rows"]
+    return Published(out_paths, counts)

@@ -58,3 +58,12 @@ def write_version(df: DataFrame, base: str, table: str, version: str | int,
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition
+    overwrite); files are staged and swapped in at job commit, so the same
+    job may read the partitions it replaces, and a failed job leaves them as
+    they were."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))

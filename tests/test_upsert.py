@@ -71,3 +71,16 @@ def test_fill_missing_only_nulls_and_no_fan_out(spark):
     source = spark.createDataFrame([("1", "11"), ("1", "12"), ("2", "99"), ("9", "90")], "run_id string, x string")
     out = U.fill_missing(target, source, "task_run_id", "a", source_key="run_id", source_column="x")
     assert rows(out) == [(1, 12), (2, 20), (3, None)]
+
+
+def test_upsert_partitions_moves_rows_between_partitions(spark):
+    target = spark.createDataFrame([(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2"), (5, "e", "d5")],
+                                   "k long, v string, day string")
+    source = spark.createDataFrame([(2, "B", "d3"), (4, "D", "d1")], "k long, v string, day string")
+    assert rows(U.touched_partitions(target, source, ["k"], "day")) == [("d1",), ("d3",)]
+    part = U.upsert_partitions(target, source, ["k"], "day")
+    # only partitions d1 and d3 come out; key 2 left d1 for d3
+    assert rows(part) == [(1, "a", "d1"), (2, "B", "d3"), (4, "D", "d1")]
+    full = U.upsert(target, source, ["k"])
+    untouched = target.where("day not in ('d1', 'd3')")
+    assert rows(part.unionByName(untouched)) == rows(full)
