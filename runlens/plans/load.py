@@ -207,7 +207,7 @@ def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str
     """
     from pyspark.sql import Observation
 
-    spark = batch.runs.sparkSession
+    spark = batch.changed_runs.sparkSession
     out_paths, counts = {}, {}
     for name, path, changed, key, ms in (
             ("task_run_details", tasks_path, batch.changed_tasks, "task_run_id", "task_start_time"),

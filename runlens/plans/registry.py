@@ -271,6 +271,15 @@ def q_tag_summary(spark, sf):
     return TG.tag_summary(_plan(spark, sf))
 
 
+def q_load_jobs(spark, sf):
+    L = _L(spark, sf)
+    current = FL.normalise_tags(L.jobs)          # the job table as an earlier load left it
+    out = LD.load_jobs(L.versions, L.job_payloads, PAIRS, current=current, excluded=EXCLUDED, host=HOST,
+                       tie_break="version_id", payload_column="")
+    return out.jobs.select("job_id", "is_job_deleted", "job__name", "job__tags__Team", "job__tags__Type",
+                           "job__tags__Priority", "job__schedule__timezone_id", "Job_link")
+
+
 def _batch(spark, sf):
     L = _L(spark, sf)
     old_runs = _snapshot(spark, sf)
@@ -322,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plan_tags": q_plan_tags,
     "apply_tags": q_apply_tags,
     "tag_summary": q_tag_summary,
+    "load_jobs": q_load_jobs,
     "incremental_runs": q_incremental_runs,
     "incremental_tasks": q_incremental_tasks,
 }
