@@ -21,7 +21,7 @@ from runlens.operators import discover as D
 from runlens.operators import flatten as FL
 from runlens.operators import incremental as I
 from runlens.operators import upsert as U
-from runlens.session import checkpoint_dir
+from runlens.session import checkpoint_dir, scratch_path
 from runlens.sources import payloads as PL
 from runlens.sources import tables as TB
 
@@ -83,13 +83,18 @@ def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: Data
     return JobLoad(U.mark_missing(merged, found, keep=keep), bad)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from the
-    files: later uses read them instead of re-running the plan, and a lost
-    executor re-reads files rather than the lineage (reliable checkpoint,
-    never a local one)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and continue
+    from the files: one job (a reliable RDD checkpoint would run the plan
+    twice), later uses read the files instead of re-running the plan, a lost
+    executor re-reads files rather than the lineage, and the planner sees
+    the real size (runtime broadcast decisions)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "runlens-stage", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
@@ -108,7 +113,7 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
        or cancelled task since the batch's oldest task start.
     ``runs``/``tasks`` None is the first load.
 
-    With ``staged`` three small results are checkpointed once: the per-job
+    With ``staged`` three small results are written once (``stage``): the per-job
     start bounds (one row per job, read by both the global pruning bound
     and the join), the selected payloads and the enriched batch tasks (the
     JSON is parsed once although the batch feeds both upserts, the backfill
@@ -124,12 +129,12 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
     monitored = I.monitored_jobs(jobs, runs)
     starts = I.fetch_from(runs, monitored, include_in_flight=include_in_flight)
     if staged:
-        starts = stage(starts)
+        starts = stage(starts, "starts")
     new = I.select_new(good, starts)
     if dedupe_order is not None:
         new = U.latest_per_key(new, ["run_id"], list(dedupe_order))
     if staged:
-        new = stage(new)
+        new = stage(new, "runs")
         if new.isEmpty():
             no_runs = FL.flatten_runs(new)
             no_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
@@ -138,7 +143,7 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
     new_runs = FL.flatten_runs(new)
     new_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
     if staged:
-        new_tasks = stage(new_tasks)
+        new_tasks = stage(new_tasks, "tasks")
     runs_out = U.upsert(runs, new_runs, ["job_run_id"])
     tasks_up = U.upsert(tasks, new_tasks, ["task_run_id"])
     fills = I.attempt_fills(tasks_up, new_tasks, outputs)
