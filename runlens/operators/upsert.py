@@ -61,31 +61,41 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
-    """Partition values a keyed upsert must rewrite: those receiving a source
-    row, and those holding an old copy of a source key (a row whose
-    partition value changed moves out of its old partition). The old-copy
-    search reads only the key and partition columns; the result has one row
-    per partition value (days), a small side."""
+def with_homes(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
+    """Source rows with ``part_col`` set to the partition their key already
+    lives in (its home); new keys keep their own value. A key therefore
+    never moves between partitions, so no partition can lose its last row
+    (which dynamic partition overwrite could not express: an emptied
+    partition is simply not rewritten). The home lookup reads only the key
+    and partition columns of the target."""
     keys = list(keys)
-    homes = (target.select(*keys, part_col)
-             .join(source.select(*keys).distinct(), keys, "left_semi").select(part_col))
-    return homes.union(source.select(part_col)).distinct()
+    homes = (target.select(*keys, F.col(part_col).alias("_home"))
+             .join(source.select(*keys).distinct(), keys, "left_semi"))
+    out = source.join(homes, keys, "left")
+    return out.select(*[F.coalesce(F.col("_home"), F.col(part_col)).alias(part_col) if c == part_col
+                        else F.col(c) for c in source.columns])
+
+
+def touched_partitions(source_homed: DataFrame, part_col: str) -> DataFrame:
+    """Partition values an upsert rewrites: those of the (homed) source
+    rows. One row per value (days), a small side."""
+    return source_homed.select(part_col).distinct()
 
 
 def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str,
                       order: Sequence[Column] | None = None) -> DataFrame:
-    """The new contents of the touched partitions only (see
-    ``touched_partitions``); written with dynamic partition overwrite
-    (``sources.tables.write_partitions``) they give the same table as a full
-    ``upsert`` while the untouched partitions are neither read nor
-    rewritten. ``source`` must carry ``part_col``."""
+    """The new contents of the touched partitions only: written with dynamic
+    partition overwrite (``sources.tables.write_partitions``) they give the
+    same rows as a full ``upsert``, while untouched partitions are neither
+    read nor rewritten. Existing keys are updated in their home partition
+    (``with_homes``); ``source`` must carry ``part_col`` for new keys."""
     keys = list(keys)
     if order is not None:
         source = latest_per_key(source, keys, order)
-    parts = touched_partitions(target, source, keys, part_col)
+    homed = with_homes(target, source, keys, part_col)
+    parts = touched_partitions(homed, part_col)
     old = target.join(parts, part_col, "left_semi").select(*target.columns)
-    return upsert(old, source, keys)
+    return upsert(old, homed, keys)
 
 
 def mark_missing(target: DataFrame, seen, key: str = "job_id", flag: str = "is_job_deleted",

@@ -184,7 +184,9 @@ def publish(batch: Batch, version: str | int, base: str | None = None,
 
 def with_day(df: DataFrame, ms_col: str, name: str = "start_day") -> DataFrame:
     """Adds the start day (zone-free date of an epoch-ms column) as the
-    partition column; start 0 falls on 1970-01-01."""
+    partition column; start 0 falls on 1970-01-01. A row keeps the day it
+    was first loaded with (``upsert_partitions`` homes keys), so the column
+    is the start day at first load."""
     from runlens.functions import millis_to_ts
 
     return df.withColumn(name, F.to_date(millis_to_ts(ms_col, ntz=True)))

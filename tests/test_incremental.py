@@ -188,3 +188,26 @@ def test_load_batch_dedupes_snapshots_of_one_run(spark):
     p = spark.createDataFrame([(json.dumps(d), d["landed"]) for d in docs], "payload string, landed long")
     out = LD.load_batch(jobs, None, None, p, spark.createDataFrame([], OUT), dedupe_order=[F.col("landed").desc()])
     assert rows(out.runs, "job_run_id", "job_state__life_cycle_state") == [(1, "TERMINATED")]
+
+
+def test_publish_partitions_task_that_starts_later_stays_single(spark):
+    import os
+    import uuid
+
+    from runlens.session import checkpoint_dir
+
+    root = os.path.join(checkpoint_dir(spark), "test-inplace", uuid.uuid4().hex)
+    runs_path, tasks_path = os.path.join(root, "runs"), os.path.join(root, "tasks")
+    jobs = spark.createDataFrame([(1, "no")], JOBS)
+    day = 86_400_000
+    pending = run_doc(1, 1, 3 * day, "RUNNING", None, ["SUCCESS"])
+    pending["tasks"][0]["start_time"] = 0                      # not started yet: day 1970-01-01
+    done = run_doc(1, 1, 3 * day, "TERMINATED", "SUCCESS", ["SUCCESS"])
+    none = spark.createDataFrame([], OUT)
+    a = LD.load_batch(jobs, None, None, payload_df(spark, [pending]), none)
+    LD.publish_partitions(a, runs_path, tasks_path)
+    b = LD.load_batch(jobs, spark.read.parquet(runs_path).drop("start_day"),
+                      spark.read.parquet(tasks_path).drop("start_day"), payload_df(spark, [done]), none)
+    LD.publish_partitions(b, runs_path, tasks_path)
+    tasks = spark.read.parquet(tasks_path)
+    assert rows(tasks, "task_run_id", "task_start_time") == [(10, 3 * day)]

@@ -73,14 +73,14 @@ def test_fill_missing_only_nulls_and_no_fan_out(spark):
     assert rows(out) == [(1, 12), (2, 20), (3, None)]
 
 
-def test_upsert_partitions_moves_rows_between_partitions(spark):
+def test_upsert_partitions_keeps_keys_in_their_home(spark):
     target = spark.createDataFrame([(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2"), (5, "e", "d5")],
                                    "k long, v string, day string")
-    source = spark.createDataFrame([(2, "B", "d3"), (4, "D", "d1")], "k long, v string, day string")
-    assert rows(U.touched_partitions(target, source, ["k"], "day")) == [("d1",), ("d3",)]
+    source = spark.createDataFrame([(2, "B", "d3"), (4, "D", "d4"), (5, "E", "d9")], "k long, v string, day string")
+    homed = U.with_homes(target, source, ["k"], "day")
+    assert rows(homed) == [(2, "B", "d1"), (4, "D", "d4"), (5, "E", "d5")]
     part = U.upsert_partitions(target, source, ["k"], "day")
-    # only partitions d1 and d3 come out; key 2 left d1 for d3
-    assert rows(part) == [(1, "a", "d1"), (2, "B", "d3"), (4, "D", "d1")]
-    full = U.upsert(target, source, ["k"])
-    untouched = target.where("day not in ('d1', 'd3')")
-    assert rows(part.unionByName(untouched)) == rows(full)
+    # partitions d1, d4, d5 come out whole; d2 is neither read nor rewritten; no partition empties
+    assert rows(part) == [(1, "a", "d1"), (2, "B", "d1"), (4, "D", "d4"), (5, "E", "d5")]
+    table = part.unionByName(target.where("day not in ('d1', 'd4', 'd5')"))
+    assert rows(table.select("k", "v")) == rows(U.upsert(target, source, ["k"]).select("k", "v"))
