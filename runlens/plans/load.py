@@ -182,14 +182,18 @@ def publish(batch: Batch, version: str | int, base: str | None = None,
     return Published(paths, {k: o.get["rows"] for k, o in seen.items()})
 
 
-def with_day(df: DataFrame, ms_col: str, name: str = "start_day") -> DataFrame:
+def with_day(df: DataFrame, ms_col: str, name: str = "start_day", unit: str = "day") -> DataFrame:
     """Adds the start day (zone-free date of an epoch-ms column) as the
-    partition column; start 0 falls on 1970-01-01. A row keeps the day it
-    was first loaded with (``upsert_partitions`` homes keys), so the column
-    is the start day at first load."""
+    partition column; ``unit='month'`` gives the first day of the month for
+    tables too thin for daily partitions. Start 0 falls on 1970-01-01. A row
+    keeps the value it was first loaded with (``upsert_partitions`` homes
+    keys), so the column is the start day at first load."""
     from runlens.functions import millis_to_ts
 
-    return df.withColumn(name, F.to_date(millis_to_ts(ms_col, ntz=True)))
+    day = F.to_date(millis_to_ts(ms_col, ntz=True))
+    if unit == "month":
+        day = F.trunc(day, "month")
+    return df.withColumn(name, day)
 
 
 def _existing(spark, path: str) -> DataFrame | None:
@@ -201,7 +205,8 @@ def _existing(spark, path: str) -> DataFrame | None:
         return None
 
 
-def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str = "start_day") -> Published:
+def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str = "start_day",
+                       unit: str = "day") -> Published:
     """Apply a batch to day-partitioned tables in place.
 
     Only the changed rows (``changed_runs``/``changed_tasks``) are upserted,
@@ -211,6 +216,10 @@ def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str
     last; the run table carries the watermark, so if the job stops between
     the two writes the next batch re-reads the same runs and the keyed
     upserts make the repeat harmless.
+
+    Choose ``unit`` so a partition holds a useful amount of data at the
+    target scale (``day`` for a large history, ``month`` for thin tables):
+    per-partition costs (files, listing, commit) dominate tiny partitions.
     """
     from pyspark.sql import Observation
 
@@ -219,7 +228,10 @@ def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str
     for name, path, changed, key, ms in (
             ("task_run_details", tasks_path, batch.changed_tasks, "task_run_id", "task_start_time"),
             ("job_run_details", runs_path, batch.changed_runs, "job_run_id", "job_start_time")):
-        src = with_day(changed, ms, part)
+        # the changed rows are batch sized: written once, they feed the key
+        # check, the home lookup, the touched set and the upsert without
+        # re-running the batch plan, and no longer read the table being replaced
+        src = stage(with_day(changed, ms, part, unit), name)
         U.check_unique(src, [key])
         old = _existing(spark, path)
         new = src if old is None else U.upsert_partitions(old, src, [key], part)

@@ -398,6 +398,8 @@ select t.task_run_id, t.task_job_run_id, t.task_start_time, t.task_state__result
   coalesce(t.task_original_attempt_run_id, s.a) task_original_attempt_run_id
 from tasks_up t left join src s on s.task_run_id = t.task_run_id"""
 
+SQL["incremental_in_place"] = SQL["incremental_tasks"]
+
 ORACLE: dict[str, str] = {}
 for _k, _body in SQL.items():
     _b = _body.strip()

@@ -298,6 +298,32 @@ def q_incremental_tasks(spark, sf):
         "task_original_attempt_run_id")
 
 
+def q_incremental_in_place(spark, sf):
+    """The earlier load written as day-partitioned tables, this batch applied
+    in place (only touched days rewritten), the task table read back."""
+    import os
+    import uuid
+
+    from runlens.session import scratch_path
+
+    L = _L(spark, sf)
+    root = scratch_path(spark, "runlens-inplace", uuid.uuid4().hex)
+    runs_path, tasks_path = os.path.join(root, "runs"), os.path.join(root, "tasks")
+    old_runs = I.conform_runs(_snapshot(spark, sf))
+    old_tasks = I.conform_tasks(L.tasks.join(old_runs.select(F.col("job_run_id").alias("task_job_run_id")),
+                                             "task_job_run_id", "left_semi"))
+    first = LD.Batch(old_runs, old_tasks, old_tasks.limit(0), old_tasks.limit(0), old_runs, old_tasks)
+    # six years of runs, a few thousand rows a day at most here: monthly partitions
+    LD.publish_partitions(first, runs_path, tasks_path, unit="month")
+    runs_now = spark.read.parquet(runs_path).drop("start_day")
+    tasks_now = spark.read.parquet(tasks_path).drop("start_day")
+    batch = LD.load_batch(L.jobs, runs_now, tasks_now, L.run_payloads, L.outputs)
+    LD.publish_partitions(batch, runs_path, tasks_path, unit="month")
+    return spark.read.parquet(tasks_path).select(
+        "task_run_id", "task_job_run_id", "task_start_time", "task_state__result_state", "task_error",
+        "task_original_attempt_run_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_versions": q_latest_versions,
     "match_pairs": q_match_pairs,
@@ -334,4 +360,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_jobs": q_load_jobs,
     "incremental_runs": q_incremental_runs,
     "incremental_tasks": q_incremental_tasks,
+    "incremental_in_place": q_incremental_in_place,
 }

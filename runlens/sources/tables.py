@@ -65,5 +65,9 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     overwrite); files are staged and swapped in at job commit, so the same
     job may read the partitions it replaces, and a failed job leaves them as
     they were."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # REBALANCE clusters each partition value into few files (not one file
+    # per task and value), and AQE still splits a value holding a third of
+    # the rows over several tasks.
+    (df.hint("rebalance", *partition_by)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
