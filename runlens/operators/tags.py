@@ -38,7 +38,8 @@ def plan_tags(job_tags: DataFrame, desired: Mapping[str, str | None], overwrite:
     Status: ``no_change`` without changes, else ``dry_run`` or ``updated``;
     an id in ``job_ids`` with no job row gets ``error: job not found``.
     Output: job_id, status, changes array<struct<key, old, new>>, tags (the
-    map after the changes; NULL for unknown jobs).
+    job's current map; NULL for unknown jobs). ``apply_tags`` gives the new
+    map.
     """
     want = clean_desired(desired, allowed)
     ordered = [(k, want[k]) for k in allowed if k in want]

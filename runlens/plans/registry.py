@@ -110,7 +110,7 @@ def q_flatten_tasks(spark, sf):
 
 def q_json_props(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "props")
-    good, _bad = PL.split_bad(PL.parse_json(events, "props", schemas._struct(("k", schemas.L)), keep=["event_id"]))
+    good, _bad = PL.split_bad(PL.parse_json(events, "props", schemas.struct_of(("k", schemas.L)), keep=["event_id"]))
     return good.select("event_id", "k")
 
 

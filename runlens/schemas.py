@@ -40,11 +40,13 @@ LONG_MAP = T.MapType(S, L)
 STR_MAP_LIST = T.ArrayType(STR_MAP)
 
 
-def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+def struct_of(*fields: tuple[str, T.DataType]) -> T.StructType:
+    """A StructType of nullable fields from (name, type) pairs."""
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-STATE = _struct(
+
+STATE = struct_of(
     ("life_cycle_state", S),
     ("result_state", S),
     ("state_message", S),
@@ -54,7 +56,7 @@ STATE = _struct(
 # Values that are nested objects in a payload but typed as string maps here
 # (sql_task, pipeline_task, notebook_task, cluster_instance) arrive as JSON
 # text, so one odd value never nulls the whole field.
-TASK_PAYLOAD = _struct(
+TASK_PAYLOAD = struct_of(
     ("run_id", L),
     ("task_key", S),
     ("attempt_number", L),
@@ -82,7 +84,7 @@ TASK_PAYLOAD = _struct(
     ("libraries", STR_MAP_LIST),
 )
 
-RUN_PAYLOAD = _struct(
+RUN_PAYLOAD = struct_of(
     ("job_id", L),
     ("run_id", L),
     ("run_name", S),
@@ -107,33 +109,33 @@ RUN_PAYLOAD = _struct(
     ("tasks", T.ArrayType(TASK_PAYLOAD)),
 )
 
-JOB_PAYLOAD = _struct(
+JOB_PAYLOAD = struct_of(
     ("job_id", L),
     ("created_time", L),
     ("creator_user_name", S),
     ("run_as_user_name", S),
     (
         "settings",
-        _struct(
+        struct_of(
             ("name", S),
             ("timeout_seconds", L),
             ("tags", STR_MAP),
             (
                 "schedule",
-                _struct(("pause_status", S), ("quartz_cron_expression", S), ("timezone_id", S)),
+                struct_of(("pause_status", S), ("quartz_cron_expression", S), ("timezone_id", S)),
             ),
-            ("git_source", _struct(("git_branch", S), ("git_provider", S), ("git_url", S))),
+            ("git_source", struct_of(("git_branch", S), ("git_provider", S), ("git_url", S))),
             (
                 "email_notifications",
-                _struct(("on_failure", T.ArrayType(S)), ("on_success", T.ArrayType(S))),
+                struct_of(("on_failure", T.ArrayType(S)), ("on_success", T.ArrayType(S))),
             ),
             ("job_clusters", STR_MAP_LIST),
         ),
     ),
 )
 
-OUTPUT_PAYLOAD = _struct(
-    ("metadata", _struct(("run_id", S), ("original_attempt_run_id", S))),
+OUTPUT_PAYLOAD = struct_of(
+    ("metadata", struct_of(("run_id", S), ("original_attempt_run_id", S))),
     ("notebook_output", S),
     ("error", S),
     ("error_trace", S),

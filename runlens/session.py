@@ -41,8 +41,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` as the cluster sets it. Only when it is
     unset (local tests) a fresh local folder is made and set.
     """
-    sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no context; the setting must be given
+        sc = None
+    if sc is None:
+        if not path:
+            path = tempfile.mkdtemp(prefix="runlens-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", path)
+        return path
+    path = path or sc.getCheckpointDir()
     if not path:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="runlens-ckpt-"))
         path = sc.getCheckpointDir()
@@ -51,6 +60,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def app_id(spark: SparkSession) -> str:
+    """An id of this application, for folders that belong to one session."""
+    app = spark.conf.get("spark.app.id", None)
+    if app:
+        return app
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return "session"
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)

@@ -293,10 +293,10 @@ def land(spark: SparkSession, sf_dir: str) -> str:
     import hashlib
     import os
 
-    from runlens.session import checkpoint_dir
+    from runlens.session import app_id, checkpoint_dir
     from runlens.sources.payloads import parse_json
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     if key in _LANDED:
         return _LANDED[key]
     tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
