@@ -31,13 +31,40 @@ class JobLoad(NamedTuple):
     bad: DataFrame         # job payloads that did not parse
 
 
-class Batch(NamedTuple):
-    runs: DataFrame           # the new run table
-    tasks: DataFrame          # the new task table
-    new_tasks: DataFrame      # this batch's tasks, enriched
-    bad: DataFrame            # run payloads that did not parse
-    changed_runs: DataFrame   # run rows that differ from the old table (the batch's runs)
-    changed_tasks: DataFrame  # task rows that differ: the batch's, and old ones given an attempt id
+class Batch:
+    """One incremental batch's results.
+
+    ``runs``: the new run table; ``changed_runs``: its rows that differ from
+    the old table (the batch's runs); ``bad``: run payloads that did not
+    parse. The task side is built on first use, once: ``new_tasks`` (this
+    batch's tasks, enriched and staged), ``tasks`` (the new task table) and
+    ``changed_tasks`` (the batch's tasks and old tasks given an attempt id),
+    so a caller that needs only runs never pays for tasks.
+    """
+
+    def __init__(self, runs: DataFrame, changed_runs: DataFrame, bad: DataFrame,
+                 tasks: DataFrame | None = None, new_tasks: DataFrame | None = None,
+                 changed_tasks: DataFrame | None = None, task_side=None):
+        self.runs, self.changed_runs, self.bad = runs, changed_runs, bad
+        self._task_side = task_side
+        self._tasks = None if task_side is not None else (tasks, new_tasks, changed_tasks)
+
+    def _side(self):
+        if self._tasks is None:
+            self._tasks = self._task_side()
+        return self._tasks
+
+    @property
+    def tasks(self) -> DataFrame:
+        return self._side()[0]
+
+    @property
+    def new_tasks(self) -> DataFrame:
+        return self._side()[1]
+
+    @property
+    def changed_tasks(self) -> DataFrame:
+        return self._side()[2]
 
 
 class StagingEmpty(RuntimeError):
@@ -138,20 +165,24 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
         if new.isEmpty():
             no_runs = FL.flatten_runs(new)
             no_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
-            return Batch(runs if runs is not None else no_runs, tasks if tasks is not None else no_tasks,
-                         no_tasks, bad, no_runs, no_tasks)
+            return Batch(runs if runs is not None else no_runs, no_runs, bad,
+                         tasks if tasks is not None else no_tasks, no_tasks, no_tasks)
     new_runs = FL.flatten_runs(new)
-    new_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
-    if staged:
-        new_tasks = stage(new_tasks, "tasks")
     runs_out = U.upsert(runs, new_runs, ["job_run_id"])
-    tasks_up = U.upsert(tasks, new_tasks, ["task_run_id"])
-    fills = I.attempt_fills(tasks_up, new_tasks, outputs)
-    tasks_out = U.fill_missing(tasks_up, fills, "task_run_id", "task_original_attempt_run_id",
-                               source_column="_a")
-    changed_keys = new_tasks.select("task_run_id").union(fills.select("task_run_id")).distinct()
-    changed_tasks = tasks_out.join(changed_keys, "task_run_id", "left_semi").select(*tasks_out.columns)
-    return Batch(runs_out, tasks_out, new_tasks, bad, new_runs, changed_tasks)
+
+    def task_side():
+        new_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
+        if staged:
+            new_tasks = stage(new_tasks, "tasks")
+        tasks_up = U.upsert(tasks, new_tasks, ["task_run_id"])
+        fills = I.attempt_fills(tasks_up, new_tasks, outputs)
+        tasks_out = U.fill_missing(tasks_up, fills, "task_run_id", "task_original_attempt_run_id",
+                                   source_column="_a")
+        changed_keys = new_tasks.select("task_run_id").union(fills.select("task_run_id")).distinct()
+        changed = tasks_out.join(changed_keys, "task_run_id", "left_semi").select(*tasks_out.columns)
+        return tasks_out, new_tasks, changed
+
+    return Batch(runs_out, new_runs, bad, task_side=task_side)
 
 
 class Published(NamedTuple):
@@ -231,9 +262,11 @@ def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str
         # the changed rows are batch sized: written once, they feed the key
         # check, the home lookup, the touched set and the upsert without
         # re-running the batch plan, and no longer read the table being replaced
-        src = stage(with_day(changed, ms, part, unit), name)
-        U.check_unique(src, [key])
         old = _existing(spark, path)
+        src = with_day(changed, ms, part, unit)
+        if old is not None:
+            src = stage(src, name)
+        U.check_unique(src, [key])
         new = src if old is None else U.upsert_partitions(old, src, [key], part)
         seen = Observation(name)
         TB.write_partitions(new.observe(seen, F.count(F.lit(1)).alias("rows")), path, [part])

@@ -312,7 +312,8 @@ def q_incremental_in_place(spark, sf):
     old_runs = I.conform_runs(_snapshot(spark, sf))
     old_tasks = I.conform_tasks(L.tasks.join(old_runs.select(F.col("job_run_id").alias("task_job_run_id")),
                                              "task_job_run_id", "left_semi"))
-    first = LD.Batch(old_runs, old_tasks, old_tasks.limit(0), old_tasks.limit(0), old_runs, old_tasks)
+    first = LD.Batch(old_runs, old_runs, old_tasks.limit(0), tasks=old_tasks, new_tasks=old_tasks,
+                     changed_tasks=old_tasks)
     # six years of runs, a few thousand rows a day at most here: monthly partitions
     LD.publish_partitions(first, runs_path, tasks_path, unit="month")
     runs_now = spark.read.parquet(runs_path).drop("start_day")
