@@ -178,8 +178,16 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
         fills = I.attempt_fills(tasks_up, new_tasks, outputs)
         tasks_out = U.fill_missing(tasks_up, fills, "task_run_id", "task_original_attempt_run_id",
                                    source_column="_a")
-        changed_keys = new_tasks.select("task_run_id").union(fills.select("task_run_id")).distinct()
-        changed = tasks_out.join(changed_keys, "task_run_id", "left_semi").select(*tasks_out.columns)
+        # changed rows: the batch's tasks plus the old tasks that get an
+        # attempt id (fills are small), without going through the whole table
+        new_keys = new_tasks.select("task_run_id")
+        old_filled = (tasks.join(fills.select("task_run_id"), "task_run_id", "left_semi")
+                      .join(new_keys, "task_run_id", "left_anti").select(*tasks.columns)
+                      if tasks is not None else None)
+        touched = new_tasks if old_filled is None else old_filled.unionByName(new_tasks,
+                                                                               allowMissingColumns=True)
+        changed = U.fill_missing(touched, fills, "task_run_id", "task_original_attempt_run_id",
+                                 source_column="_a")
         return tasks_out, new_tasks, changed
 
     return Batch(runs_out, new_runs, bad, task_side=task_side)
