@@ -40,7 +40,9 @@ def parse_json(df: DataFrame, column: str, schema: T.StructType,
 
 def split_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that parsed, rows that did not); drops the corrupt column from
-    the good side."""
+    the good side. For raw JSON files Spark refuses a query that reads only
+    the corrupt column (e.g. ``bad.count()``); save or show the bad side
+    (all columns) instead."""
     bad = parsed.where(F.col(CORRUPT).isNotNull())
     good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, bad

@@ -10,8 +10,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from runlens.session import get_spark
 
+    import tempfile
+
+    warehouse = tempfile.mkdtemp(prefix="runlens-wh-")
     s = get_spark("local[4]", shuffle_partitions=4,
-                  conf={"spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC"})
+                  conf={"spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC",
+                        "spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
