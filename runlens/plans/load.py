@@ -85,7 +85,8 @@ def _parsed(payloads: DataFrame, schema, column: str) -> tuple[DataFrame, DataFr
 def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: DataFrame | None = None,
               excluded: Sequence = (), tag_keys: Sequence[str] | None = None, host: str | None = None,
               workspace_id: str | None = None, tie_break: str | None = None,
-              payload_column: str = "payload", check_staged: bool = True) -> JobLoad:
+              payload_column: str = "payload", check_staged: bool = True,
+              staged_ids: bool = True) -> JobLoad:
     """Discover jobs, flatten their payloads, normalise tags, upsert into
     ``current`` and flag jobs no longer discovered as deleted.
 
@@ -95,6 +96,11 @@ def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: Data
     mis-configured pair list cannot flag every job deleted.
     """
     found = D.discover(versions, pairs, excluded, workspace_id=workspace_id, tie_break=tie_break)
+    if staged_ids:
+        # one row per discovered job, written once: the window over the whole
+        # version history then runs once, not for the guard, the upsert and
+        # the soft delete each
+        found = stage(found.select("job_id").distinct(), "jobs")
     good, bad = _parsed(job_payloads, schemas.JOB_PAYLOAD, payload_column)
     staged = FL.normalise_tags(
         FL.flatten_jobs(good.join(found.select("job_id").distinct(), "job_id", "left_semi"), tag_keys, host),
