@@ -9,6 +9,7 @@ so the plan does not grow with the number of jobs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +65,52 @@ def fetch_from(runs: DataFrame | None, monitored: DataFrame,
     return out.select("job_id", wm.alias("watermark"), start.alias("fetch_from"))
 
 
+class LoadState(NamedTuple):
+    """What the next batch needs from the run table, kept small: per job the
+    newest start among finished runs (it only ever grows), and the runs
+    still in flight. Reading it costs O(jobs + runs in flight) instead of a
+    scan of the whole run table."""
+    watermarks: DataFrame   # job_id, watermark
+    in_flight: DataFrame    # job_id, job_run_id, job_start_time
+
+
+def load_state(runs: DataFrame, terminal: Sequence[str] = TERMINAL_STATES,
+               in_flight: Sequence[str] = IN_FLIGHT_STATES) -> LoadState:
+    """The state of a run table (one scan, e.g. once at start-up)."""
+    state = F.col("job_state__life_cycle_state")
+    return LoadState(watermarks(runs, terminal),
+                     runs.where(state.isin(list(in_flight))).select("job_id", "job_run_id", "job_start_time"))
+
+
+def advance_state(prev: LoadState, new_runs: DataFrame, terminal: Sequence[str] = TERMINAL_STATES,
+                  in_flight: Sequence[str] = IN_FLIGHT_STATES) -> LoadState:
+    """The state after a batch: watermarks raised by the batch's finished
+    runs; in-flight runs the batch saw replaced by their new state."""
+    state = F.col("job_state__life_cycle_state")
+    wm = (prev.watermarks.unionByName(watermarks(new_runs, terminal))
+          .groupBy("job_id").agg(F.max("watermark").alias("watermark")))
+    still = prev.in_flight.join(new_runs.select("job_run_id"), "job_run_id", "left_anti")
+    busy = (still.select("job_id", "job_run_id", "job_start_time")
+            .unionByName(new_runs.where(state.isin(list(in_flight)))
+                         .select("job_id", "job_run_id", "job_start_time")))
+    return LoadState(wm, busy)
+
+
+def monitored_from_state(jobs: DataFrame, state: LoadState) -> DataFrame:
+    """``monitored_jobs`` from the state instead of the run table."""
+    live = jobs.where(F.col("is_job_deleted") == DELETED_NO).select("job_id")
+    return live.union(state.in_flight.select("job_id")).distinct()
+
+
+def fetch_from_state(state: LoadState, monitored: DataFrame, include_in_flight: bool = True) -> DataFrame:
+    """``fetch_from`` from the state: the same bounds, no run-table scan."""
+    busy = state.in_flight.groupBy("job_id").agg(F.min("job_start_time").alias("_busy"))
+    out = monitored.join(state.watermarks, "job_id", "left").join(busy, "job_id", "left")
+    wm = F.coalesce(F.col("watermark"), F.lit(0).cast("long"))
+    start = F.least(wm, F.col("_busy")) if include_in_flight else wm
+    return out.select("job_id", wm.alias("watermark"), start.alias("fetch_from"))
+
+
 def select_new(payloads: DataFrame, starts: DataFrame, start_col: str = "start_time",
                key: str = "job_id") -> DataFrame:
     """Landed run payloads of monitored jobs with start >= that job's

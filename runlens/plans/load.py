@@ -46,6 +46,7 @@ class Batch:
                  tasks: DataFrame | None = None, new_tasks: DataFrame | None = None,
                  changed_tasks: DataFrame | None = None, task_side=None):
         self.runs, self.changed_runs, self.bad = runs, changed_runs, bad
+        self.state = None           # the next batch's LoadState, when the batch was given one
         self._task_side = task_side
         self._tasks = None if task_side is not None else (tasks, new_tasks, changed_tasks)
 
@@ -133,7 +134,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
                run_payloads: DataFrame, outputs: DataFrame, payload_column: str = "payload",
                include_in_flight: bool = True, staged: bool = True,
-               dedupe_order: Sequence | None = None) -> Batch:
+               dedupe_order: Sequence | None = None, state: I.LoadState | None = None) -> Batch:
     """One incremental batch.
 
     1. jobs to read: live jobs and jobs with runs in flight;
@@ -157,10 +158,18 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
     ``dedupe_order`` (e.g. ``[F.col("landed_at").desc()]``): the first
     snapshot per run id wins. Otherwise run ids must be unique per batch
     (``publish`` checks).
+
+    ``state`` (``incremental.load_state`` once, then ``Batch.state`` of the
+    previous batch) gives the jobs to read and their start bounds without
+    scanning the run table; the result is the same.
     """
     good, bad = _parsed(run_payloads, schemas.RUN_PAYLOAD, payload_column)
-    monitored = I.monitored_jobs(jobs, runs)
-    starts = I.fetch_from(runs, monitored, include_in_flight=include_in_flight)
+    if state is not None:
+        monitored = I.monitored_from_state(jobs, state)
+        starts = I.fetch_from_state(state, monitored, include_in_flight=include_in_flight)
+    else:
+        monitored = I.monitored_jobs(jobs, runs)
+        starts = I.fetch_from(runs, monitored, include_in_flight=include_in_flight)
     if staged:
         starts = stage(starts, "starts")
     new = I.select_new(good, starts)
@@ -171,8 +180,10 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
         if new.isEmpty():
             no_runs = FL.flatten_runs(new)
             no_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
-            return Batch(runs if runs is not None else no_runs, no_runs, bad,
+            done = Batch(runs if runs is not None else no_runs, no_runs, bad,
                          tasks if tasks is not None else no_tasks, no_tasks, no_tasks)
+            done.state = state
+            return done
     new_runs = FL.flatten_runs(new)
     runs_out = U.upsert(runs, new_runs, ["job_run_id"])
 
@@ -196,7 +207,9 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
                                  source_column="_a")
         return tasks_out, new_tasks, changed
 
-    return Batch(runs_out, new_runs, bad, task_side=task_side)
+    out = Batch(runs_out, new_runs, bad, task_side=task_side)
+    out.state = I.advance_state(state, new_runs) if state is not None else None
+    return out
 
 
 class Published(NamedTuple):

@@ -211,3 +211,25 @@ def test_publish_partitions_task_that_starts_later_stays_single(spark):
     LD.publish_partitions(b, runs_path, tasks_path)
     tasks = spark.read.parquet(tasks_path)
     assert rows(tasks, "task_run_id", "task_start_time") == [(10, 3 * day)]
+
+
+def test_state_path_equals_run_table_path(spark):
+    jobs = spark.createDataFrame([(1, "no"), (2, "no"), (3, "yes")], JOBS)
+    b1 = [run_doc(1, 1, 100, "RUNNING", None, ["SUCCESS"]), run_doc(2, 1, 200, "TERMINATED", "SUCCESS", []),
+          run_doc(3, 2, 150, "TERMINATED", "FAILED", ["FAILED"]), run_doc(5, 3, 120, "RUNNING", None, [])]
+    b2 = [run_doc(1, 1, 100, "TERMINATED", "SUCCESS", ["SUCCESS"]), run_doc(4, 2, 400, "PENDING", None, []),
+          run_doc(5, 3, 120, "TERMINATED", "SUCCESS", [])]
+    b3 = [run_doc(4, 2, 400, "TERMINATED", "SUCCESS", []), run_doc(6, 1, 50, "TERMINATED", "SUCCESS", [])]
+    none = spark.createDataFrame([], OUT)
+    a = LD.load_batch(jobs, None, None, payload_df(spark, b1), none)
+    s = LD.load_batch(jobs, None, None, payload_df(spark, b1), none, state=I.load_state(a.runs.limit(0)))
+    for docs in (b2, b3):
+        a_next = LD.load_batch(jobs, a.runs, a.tasks, payload_df(spark, docs), none)
+        s_next = LD.load_batch(jobs, s.runs, s.tasks, payload_df(spark, docs), none, state=s.state)
+        assert rows(I.fetch_from_state(s.state, I.monitored_from_state(jobs, s.state))) == \
+            rows(I.fetch_from(a.runs, I.monitored_jobs(jobs, a.runs)))
+        assert rows(a_next.runs) == rows(s_next.runs)
+        a, s = a_next, s_next
+    assert rows(s.state.in_flight) == []
+    # job 3 is deleted with nothing in flight in the table: never read, in either path
+    assert rows(s.state.watermarks) == [(1, 200), (2, 400)]
