@@ -284,21 +284,31 @@ class Landed(NamedTuple):
 
 
 _LANDED: dict[tuple[str, str], str] = {}
+_LAND_LOCK = __import__("threading").Lock()
 _TABLES = ("versions", "jobs", "runs", "tasks", "outputs", "event_runs")
 
 
 def land(spark: SparkSession, sf_dir: str) -> str:
     """Write the derived telemetry of ``sf_dir`` below the shared checkpoint
     folder (once per session and input folder) and return the folder."""
-    import hashlib
     import os
 
-    from runlens.session import app_id, checkpoint_dir
-    from runlens.sources.payloads import parse_json
+    from runlens.session import app_id
 
     key = (app_id(spark), os.path.abspath(sf_dir))
-    if key in _LANDED:
+    with _LAND_LOCK:                     # queries of one session may start together
+        if key not in _LANDED:
+            _LANDED[key] = _land(spark, sf_dir, key)
         return _LANDED[key]
+
+
+def _land(spark: SparkSession, sf_dir: str, key: tuple[str, str]) -> str:
+    import hashlib
+    import os
+
+    from runlens.session import checkpoint_dir
+    from runlens.sources.payloads import parse_json
+
     tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
     base = os.path.join(checkpoint_dir(spark), "runlens-landed", key[0], tag)
 
@@ -317,7 +327,6 @@ def land(spark: SparkSession, sf_dir: str) -> str:
      .write.mode("overwrite").json(os.path.join(base, "job_payloads")))
     (parse_json(run_payloads(runs_df, tasks_df), "payload", schemas.RUN_PAYLOAD).drop("_corrupt_record")
      .write.mode("overwrite").json(os.path.join(base, "run_payloads")))
-    _LANDED[key] = base
     return base
 
 
