@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, langid
+from . import base, langid, near_dup
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +19,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "cross_entropy", "rejected")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document, and whether it stays."""
+    found = near_dup.classes(base.table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
 QUERIES = {
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
 
