@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, langid, near_dup
+from . import base, langid, near_dup, substring
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "cross_entropy", "rejected")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    left = substring.deduplicated(base.table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document, and whether it stays."""
     found = near_dup.classes(base.table(spark, sf_dir, "documents"))
@@ -26,6 +32,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
