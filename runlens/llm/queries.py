@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, langid, near_dup, substring
+from . import base, langid, mixing, near_dup, packing, substring
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,16 +25,59 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+# The tree of the mixture: domain (from the source's number), language, source.
+DOMAIN = "case when source = 'src0' then 'crawl' when length(source) = 4 then 'curated' else 'forum' end"
+MIX_WEIGHTS = [{"crawl": 3, "curated": 4, "forum": 3}, {"en": 5, "de": 2, "fr": 2, "es": 1}, {"src1": 2, "src10": 2}]
+MIX_PATH = [DOMAIN, "lang", "source"]
+MIX_SEED = 7
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen for a budget of nine tenths of all tokens, up to two
+    epochs a source."""
+    docs = base.table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", *[F.coalesce(F.expr(p), F.lit("")).alias(f"k{i}") for i, p in enumerate(MIX_PATH)],
+                        mixing.word_count(F.col("text")).alias("tokens"))
+    return mixing.mixed(sized, [F.col(f"k{i}") for i in range(3)], MIX_WEIGHTS, share=(9, 10), epochs=2,
+                        seed=MIX_SEED, tokens=F.col("tokens"), with_epoch="epoch")
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
+    cut, places = packing.packed(base.table(spark, sf_dir, "documents"), tokenizer_file())
+    digest = cut.select("row", "piece", "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return (digest.join(places, ["row", "piece"])
+            .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document, and whether it stays."""
     found = near_dup.classes(base.table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of ``corpus_pipeline.py``, one after the other."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op8_mixing": op8_mixing,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_mixing": mixing.sql(MIX_WEIGHTS, (9, 10), 2, MIX_SEED, MIX_PATH),
+}
