@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, langid, mixing, near_dup, packing, substring
+from . import base, chat, langid, mixing, near_dup, packing, substring, topk
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "cross_entropy", "rejected")
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and one of control strings only; turns
+    and loss text are read back from the formatted text."""
+    rows = base.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    out = chat.formatted(rows.unionByName(control))
+    back = out.select("conv_id", chat.read_back(F.col("formatted")).alias("turns"),
+                      chat.under_loss(F.col("formatted"), F.col("loss")).alias("loss_text"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"),
+                       F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best of all vectors for every fiftieth, by inner product."""
+    return topk.search(base.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages of earlier ones."""
     left = substring.deduplicated(base.table(spark, sf_dir, "documents"))
@@ -71,6 +97,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "pipeline": pipeline,
+    "op1_chat_formatting": op1_chat_formatting,
+    "op4_top_k": op4_top_k,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op8_mixing": op8_mixing,
     "op6_substring_dedup": op6_substring_dedup,
@@ -78,6 +106,37 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
+CHAT_SQL = r"""
+with rows_ as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+marked as (
+  select *, length(regexp_replace(regexp_replace(replace(text, '\', '\\'), '<(/?s>|/?SYS>>|\|)', '\\l\1', 'g'),
+      '\[(/?INST\])', '\\b\1', 'g')) as n,
+    coalesce(role = lag(role) over w, false) as merged
+  from rows_ window w as (partition by conv_id order by turn, role, text))
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(n + case when merged then length('<|im_sep|>')
+    else length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1 end) as bigint) as formatted_chars
+from marked group by conv_id
+"""
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and not list_contains(list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false)),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+from s qualify rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_chat_formatting": CHAT_SQL,
+    "op4_top_k": TOP_K_SQL,
     "op8_mixing": mixing.sql(MIX_WEIGHTS, (9, 10), 2, MIX_SEED, MIX_PATH),
 }
