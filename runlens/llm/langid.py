@@ -394,12 +394,12 @@ DETECTED = "doc_id long, lang_pred string, score double, cross_entropy double, r
 
 def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``lang_pred``, ``score``, ``cross_entropy``, ``rejected``."""
-    kept = docs.sparkSession.sparkContext.broadcast(model)
+    kept = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
         import pyarrow as pa
 
-        scorer = Scorer(kept.value)
+        scorer = Scorer(Model(**kept.value))
         for batch in batches:
             lang, score, h, rejected = scorer.decide(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -413,13 +413,13 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents that are not rejected, with all their columns as they are."""
-    kept = docs.sparkSession.sparkContext.broadcast(model)
+    kept = docs.sparkSession.sparkContext.broadcast(vars(model))
     at = docs.columns.index(text_col)
 
     def run(batches):
         import pyarrow as pa
 
-        scorer = Scorer(kept.value)
+        scorer = Scorer(Model(**kept.value))
         for batch in batches:
             rejected = scorer.decide(batch.column(at))[3]
             yield batch.filter(pa.array(~rejected))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, chat, langid, mixing, near_dup, packing, substring, topk
+from . import base, chat, langid, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,22 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(base.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rules' and the learned verdict."""
+    out, _ = quality_rules.judged(base.table(spark, sf_dir, "documents"), base.table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", "rule")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document, learned from graded ones outside the
+    test fold."""
+    docs, labels = base.table(spark, sf_dir, "documents"), base.table(spark, sf_dir, "labels")
+    grades = labels.where(~langid.held_out(F.col("doc_id"))).select(
+        "doc_id", quality_ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    return quality_ordinal.graded(docs, quality_ordinal.fit(docs, grades))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages of earlier ones."""
     left = substring.deduplicated(base.table(spark, sf_dir, "documents"))
@@ -98,7 +114,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "pipeline": pipeline,
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_quality_rules": op3_quality_rules,
     "op4_top_k": op4_top_k,
+    "op5_quality_classifier": op5_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op8_mixing": op8_mixing,
     "op6_substring_dedup": op6_substring_dedup,

@@ -65,9 +65,19 @@ class Words(NamedTuple):
     buf: np.ndarray
 
 
+def spans(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each ``buf[start:end]``; equal bytes have equal hashes."""
+    n = len(buf)
+    power, inverse = _powers(BASE, n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_bytes_table()[buf] * power, out=sums[1:])
+    at = np.minimum(start, max(0, n - 1))
+    return mix((sums[end] - sums[start]) * inverse[at] + (end - start).astype(np.uint64))
+
+
 def scan(buf: np.ndarray, offsets: np.ndarray) -> Words:
     """Words of the texts ``buf[offsets[i]:offsets[i+1]]`` (offsets from 0)."""
-    table = _bytes_table()
+    _bytes_table()
     n = len(buf)
     docs = len(offsets) - 1
     if n == 0:
@@ -82,10 +92,7 @@ def scan(buf: np.ndarray, offsets: np.ndarray) -> Words:
     last[:-1] &= ~word[1:] | edge[1:-1]
     start = np.flatnonzero(first)
     end = np.flatnonzero(last) + 1
-    power, inverse = _powers(BASE, n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[buf] * power, out=sums[1:])
-    h = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    h = spans(buf, start, end)
     bounds = np.searchsorted(start, offsets, "left")
     doc = np.repeat(np.arange(docs), np.diff(bounds))
     return Words(doc, start, end, h, bounds, buf)
