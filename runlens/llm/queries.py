@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, chat, langid, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk
+from . import base, chat, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of all documents."""
+    docs = base.table(spark, sf_dir, "documents")
+    return licenses.scanned(docs, licenses.fit(docs))
+
+
 # The tree of the mixture: domain (from the source's number), language, source.
 DOMAIN = "case when source = 'src0' then 'crawl' when length(source) = 4 then 'curated' else 'forum' end"
 MIX_WEIGHTS = [{"crawl": 3, "curated": 4, "forum": 3}, {"en": 5, "de": 2, "fr": 2, "es": 1}, {"src1": 2, "src10": 2}]
@@ -118,6 +124,7 @@ QUERIES = {
     "op4_top_k": op4_top_k,
     "op5_quality_classifier": op5_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_mixing": op8_mixing,
     "op6_substring_dedup": op6_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
