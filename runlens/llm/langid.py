@@ -42,7 +42,8 @@ class Model:
     keys: np.ndarray            # sorted uint64 hashes of n-grams
     prob: np.ndarray            # [keys, langs] log p(last char | the others)
     back: np.ndarray            # [keys, langs] log weight of the shorter context
-    floor: float                # log probability of an unseen character
+    floor: np.ndarray           # [langs] log probability of an unseen character
+    spread: float               # cross-entropy of guessing among all characters
     limit: dict[str, float] = field(default_factory=dict)
     scale: float = 1.0
 
@@ -161,7 +162,7 @@ def train(table, langs: list[str], order: int) -> Model:
     back = np.zeros((len(keys), len(langs)))
     sel1 = n == 1
     alphabet = len(np.unique(gram[sel1])) + 1
-    floor = -np.log(alphabet)
+    floor = np.full(len(langs), -np.log(alphabet))
     # one row per distinct n-gram of any language
     _, first = np.unique(gram, return_index=True)
     key_n, key_ctx, key_suf = n[first], ctx[first], suf[first]
@@ -191,7 +192,7 @@ def train(table, langs: list[str], order: int) -> Model:
                 lam = d * kinds / total if total else 1.0
                 p = np.maximum(c - d, 0) / max(total, 1) + lam / alphabet
                 prob[of, li] = np.log(p)
-                unigram_back = np.log(lam) if lam > 0 else floor
+                floor[li] = np.log(max(lam, 1e-6) / alphabet)
                 continue
             where = ctx_at[of]
             total = np.bincount(where, weights=c, minlength=len(keys))
@@ -210,7 +211,8 @@ def train(table, langs: list[str], order: int) -> Model:
             lower = np.exp(prob[suf_at[of], li])
             p = np.where(t > 0, np.maximum(c - d, 0) / np.maximum(t, 1) + lw * lower, lower)
             prob[of, li] = np.log(p)
-    return Model(list(langs), order, keys, prob.astype(np.float32), back.astype(np.float32), float(floor))
+    return Model(list(langs), order, keys, prob.astype(np.float32), back.astype(np.float32), floor,
+                 float(np.log(alphabet)))
 
 
 def word_scores(model: Model, words: list[str], codes: bool = False) -> np.ndarray:
@@ -346,7 +348,7 @@ def fit(docs: DataFrame, fit_docs: int = 400, calibration_docs: int = 150, order
     grams = grams_of(sample.where(F.col("rank") <= fit_docs), order).toPandas()
     langs = sorted(grams["lang"].unique().tolist())
     if not langs:
-        return Model([], order, np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros((0, 0)), 0.0)
+        return Model([], order, np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0), 0.0)
     model = train(grams, langs, order)
 
     def entropy(batches):
@@ -369,7 +371,7 @@ def calibrate(model: Model, rows: list[tuple[str, list[float]]], margin: float)
     the way up to that of unseen characters; scale the score to the least log
     loss on the same rows."""
     true, sums = [r[0] for r in rows if r[1][-1]], np.array([r[1] for r in rows if r[1][-1]])
-    worst = -model.floor
+    worst = model.spread
     if not len(true):
         model.limit = {x: worst for x in model.langs}
         return

@@ -14,11 +14,16 @@ time, so the signature is exact.
 
 Signatures are cut into bands; documents that share a band are candidates and
 links are verified on the multisets themselves (similarity >= 0.8). Documents
-with equal multisets are one node. Classes are connected components of links:
-in each band the smallest id is compared with all others first, and only pairs
-that are still in different components are compared after that, so a large
-group of near copies costs its size, not its square, and no link between
-different components is lost.
+with equal multisets are one node. Two bounds keep large groups of near copies
+from costing their square, and neither loses a link:
+
+* Two nodes of different components share no more than either's runs that
+  other components hold at all (at first every node is a component), counted
+  apart for runs of few and of many holders. Nodes and pairs whose bound is
+  below what a link of their weights needs are not compared.
+* Classes are connected components of links. In each band the node with the
+  greatest share of such runs is compared with all others first; after that only
+  pairs that are still in different components are compared.
 
 Defined cases: a null or empty text is in a class of its own; a null id takes
 no part and stays; rows that repeat an id are one document (texts differing,
@@ -196,10 +201,37 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def runs_of(texts: DataFrame) -> DataFrame:
+    """(run, node, c): the multiset of every text, one row a distinct run."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            for i, j, buf, offsets in W.slices(batch.column("text")):
+                doc, h, count = shingles(W.scan(buf, offsets))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(ids[i:j][doc]), pa.array(count.astype(np.int64))],
+                    names=["run", "node", "c"])
+
+    return texts.mapInArrow(run, "run long, node long, c long")
+
+
+def shared_weight(runs: DataFrame, few: int = 16) -> DataFrame:
+    """(node, wide, rare): the weight of a node's runs that a node of another
+    component holds, from (run, node, c, comp), parted by whether ``few`` nodes
+    or more hold the run. No row: none."""
+    apart = (runs.groupBy("run").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("n"))
+             .where("c1 <> c2").select("run", (F.col("n") >= few).alias("many")))
+    return (runs.join(apart, "run").groupBy("node")
+            .agg(F.sum(F.when(F.col("many"), F.col("c")).otherwise(0)).alias("wide"),
+                 F.sum(F.when(F.col("many"), 0).otherwise(F.col("c"))).alias("rare")))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
             star_rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: ``doc_id``, ``class_id`` (the smallest id of its
-    class), ``class_size`` is left to the caller."""
+    """One row a document: ``doc_id``, ``class_id`` (the smallest id of its class)."""
     spark = base.session_of(docs)
     land = base.Landing(spark, "near-dup")
     texts = base.texts_of(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
@@ -219,42 +251,59 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     reps = prof.join(nodes.select(F.col("rep").alias("doc_id"), "fp1", "fp2"), ["doc_id", "fp1", "fp2"], "left_semi")
     in_band = reps.select(F.col("doc_id").alias("node"), "weight", F.explode("bands").alias("band"))
     shared = in_band.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    cand = land.put(in_band.join(shared.select("band", "low"), "band"), "candidates")
+    cand = land.put(in_band.join(shared.select("band"), "band", "left_semi"), "candidates")
     land.drop("nodes")
 
     # whole texts only of documents that share a band
     wanted = cand.select(F.col("node").alias("doc_id")).distinct()
     body = land.put(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
-    close = F.col("wa") >= threshold * F.col("wb") - 1e-9
-    close = close & (F.col("wb") >= threshold * F.col("wa") - 1e-9)
+    # a link of weights a, b needs an overlap of t / (1 + t) * (a + b), and b >= t * a
+    runs = land.put(runs_of(body), "runs")
+    common = land.put(shared_weight(runs.withColumn("comp", F.col("node"))), "common")
+    lightest = (cand.join(cand.groupBy("band").agg(F.min("weight").alias("least")), "band")
+                .groupBy("node", "weight").agg(F.min("least").alias("least")))
+    share = threshold / (1 + threshold)
+    partner = F.greatest(F.col("least").cast("double"), threshold * F.col("weight"))
+    able = (lightest.join(common, "node")
+            .where(F.col("wide") + F.col("rare") >= share * (F.col("weight") + partner) - 1e-6)
+            .select("node", "wide", "rare", (1 - (F.col("wide") + F.col("rare")) / F.col("weight")).alias("odd")))
+    cand = cand.select("band", "node", "weight").join(able, "node")
+    pairable = (cand.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+                .where("low <> high").select("band"))
+    cand = land.put(cand.join(pairable, "band", "left_semi"), "members")
+    runs = land.put(runs.join(able.select("node"), "node", "left_semi"), "member-runs")
+    land.drop("candidates", "runs")
+
+    most = F.least("wide_a", "wide_b") + F.least("rare_a", "rare_b")
+    close = most >= share * (F.col("wa") + F.col("wb")) - 1e-6
     edges = land.put(twice, "edges-ids")
     labels = None
     tried = None
     for turn in range(star_rounds + 1):
-        state = cand if labels is None else (
-            cand.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label"))
         if labels is None:
-            state = state.withColumn("comp", F.col("node"))
+            state = asked = cand.withColumn("comp", F.col("node"))
         else:
+            state = (cand.join(labels, "node", "left")
+                     .withColumn("comp", F.coalesce("label", "node")).drop("label"))
+            held = (runs.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")))
+            now = land.put(shared_weight(held), f"common-{turn}")
+            state = state.drop("wide", "rare").join(now, "node")
             mixed = (state.groupBy("band").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
                      .where("c1 <> c2").select("band"))
             state = land.put(state.join(mixed, "band", "left_semi"), f"state-{turn}")
             if state.isEmpty():
                 break
-        other = state.select("band", F.col("node").alias("b"), F.col("weight").alias("wb"), F.col("comp").alias("cb"))
-        if turn < star_rounds:
-            # the smallest id of each band's smallest component not yet compared, with all others
-            pick = F.min(F.struct("node", "weight", "comp")) if turn == 0 else F.max(F.struct("comp", "node", "weight"))
-            centre = (state.groupBy("band").agg(pick.alias("p"))
-                      .select("band", F.col("p.node").alias("a"), F.col("p.weight").alias("wa"),
-                              F.col("p.comp").alias("ca")))
-        else:
-            # every member outside its band's largest component, with all of other components
+            # those outside their band's largest component ask
             sizes = state.groupBy("band", "comp").agg(F.count("*").alias("n"))
-            main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("m")).select("band", "m.comp")
-            minor = state.join(main.withColumnRenamed("comp", "main"), "band").where("comp <> main")
-            centre = minor.select("band", F.col("node").alias("a"), F.col("weight").alias("wa"), F.col("comp").alias("ca"))
+            main = sizes.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("m")).select("band", F.col("m.comp").alias("main"))
+            asked = state.join(main, "band").where("comp <> main").drop("main")
+        if turn < star_rounds:
+            first = asked.groupBy("band").agg(F.min(F.struct("odd", "node", "weight", "wide", "rare", "comp")).alias("p"))
+            asked = first.select("band", "p.node", "p.weight", "p.wide", "p.rare", "p.comp")
+        centre, other = (t.select("band", F.col("node").alias(x), F.col("weight").alias(f"w{x}"),
+                                  F.col("wide").alias(f"wide_{x}"), F.col("rare").alias(f"rare_{x}"), F.col("comp").alias(f"c{x}"))
+                         for t, x in ((asked, "a"), (state, "b")))
         pairs = (centre.join(other, "band").where((F.col("ca") != F.col("cb")) & close)
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if tried is not None:
@@ -263,7 +312,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
         tried = pairs if tried is None else tried.unionByName(pairs)
         edges = edges.unionByName(land.put(verified(pairs, body, threshold), f"edges-{turn}"))
         labels = components(edges, land, f"round-{turn}")
-    land.drop("texts", "candidates", *(f"state-{t}" for t in range(star_rounds + 2)))
+    land.drop("texts", "members", "member-runs", *(f"state-{t}" for t in range(star_rounds + 2)))
 
     ids = texts.select("doc_id").distinct()
     found = (ids.join(member, "doc_id", "left").withColumn("node", F.coalesce("rep", "doc_id"))
