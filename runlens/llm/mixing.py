@@ -130,12 +130,13 @@ def mixed(docs: DataFrame, path: Sequence[Column], weights: Sequence[Mapping[str
     named = [F.coalesce(p.cast("string"), F.lit("")).alias(k) for p, k in zip(path, keys)]
     size = tokens if tokens is not None else word_count(F.col(text_col))
     rows = land.put(docs.select(F.col(id_col).alias("id"), *named, size.alias("tokens")), "rows")
-    leaves = plan(rows, keys, weights, share, epochs, seed, land).select(*keys, "whole", "last")
+    leaves = plan(rows, keys, weights, share, epochs, seed, land).select(
+        *keys, F.col("whole").alias("__whole"), F.col("last").alias("__last"))
     land.drop("rows")
     # a row for each leaf, of known size: broadcast by the planner where small
     wide = docs.select(*[F.col(c) for c in docs.columns], *named).join(leaves, keys)
-    in_part = F.coalesce(order_key(seed, F.col("whole"), F.col(id_col)) <= F.col("last"), F.lit(False))
-    count = F.col("whole") + F.when(in_part, 1).otherwise(0)
+    in_part = F.coalesce(order_key(seed, F.col("__whole"), F.col(id_col)) <= F.col("__last"), F.lit(False))
+    count = F.col("__whole") + F.when(in_part, 1).otherwise(0)
     if epochs == 1 and with_epoch is None:
         return wide.where(count > 0).select(*docs.columns)
     epoch = with_epoch or "__epoch"

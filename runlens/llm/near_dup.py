@@ -172,8 +172,8 @@ def overlap(w: W.Words, v: W.Words, n: int) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough. ``texts`` has one row
-    an id."""
+    """The pairs (a, b) whose multisets overlap enough (of an id with several
+    texts, any)."""
 
     def run(batches):
         import pyarrow as pa
@@ -256,7 +256,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
 
     # whole texts only of documents that share a band
     wanted = cand.select(F.col("node").alias("doc_id")).distinct()
-    body = land.put(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    body = land.put(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
 
     # a link of weights a, b needs an overlap of t / (1 + t) * (a + b), and b >= t * a
     runs = land.put(runs_of(body), "runs")
@@ -267,8 +267,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     partner = F.greatest(F.col("least").cast("double"), threshold * F.col("weight"))
     able = (lightest.join(common, "node")
             .where(F.col("wide") + F.col("rare") >= share * (F.col("weight") + partner) - 1e-6)
-            .select("node", "wide", "rare", (1 - (F.col("wide") + F.col("rare")) / F.col("weight")).alias("odd")))
-    cand = cand.select("band", "node", "weight").join(able, "node")
+            .select("node", "weight", "wide", "rare", (1 - (F.col("wide") + F.col("rare")) / F.col("weight")).alias("odd")))
+    cand = cand.select("band", "node", "weight").join(able, ["node", "weight"])
     pairable = (cand.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                 .where("low <> high").select("band"))
     cand = land.put(cand.join(pairable, "band", "left_semi"), "members")
