@@ -7,16 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A driver-side list (pairs, id lists, tag sets) is broadcast only up to
-# this many rows; longer lists become a normal shuffled join side.
-MAX_BROADCAST_ROWS = 100_000
-
 
 def frame_of(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
-    """A small DataFrame from driver rows, broadcast when its length (known
-    on the driver, so a proven bound) is at most ``MAX_BROADCAST_ROWS``."""
-    df = spark.createDataFrame(list(rows), ddl)
-    return F.broadcast(df) if len(rows) <= MAX_BROADCAST_ROWS else df
+    """A DataFrame from driver rows (pairs, id lists, tag sets). The planner
+    knows a local relation's size and picks the join by it."""
+    return spark.createDataFrame(list(rows), ddl)
 
 
 def ids_frame(spark: SparkSession, ids, name: str = "job_id") -> DataFrame:

@@ -66,17 +66,41 @@ def normalise_tags(df: DataFrame, keys: Sequence[str] | None = None,
 
 
 def run_tasks_summary(tasks: Column) -> Column:
-    """The run row's ``job_tasks``: per task a map of six long fields."""
-    return F.transform(tasks, lambda t: F.create_map(
-        *[x for k in schemas.RUN_TASK_KEYS for x in (F.lit(k), t[k])]))
+    """The run row's ``job_tasks``: per task a map of those of six long fields
+    that it has; no tasks: an empty list."""
+    maps = F.transform(tasks, lambda t: F.map_filter(
+        F.create_map(*[x for k in schemas.RUN_TASK_KEYS for x in (F.lit(k), t[k])]), lambda k, v: v.isNotNull()))
+    return F.coalesce(maps, F.array().cast("array<map<string,bigint>>"))
+
+
+def _text_map(text: Column) -> Column:
+    """A JSON object as map<string,string>: nested values stay JSON text; NULL
+    for anything else."""
+    return F.from_json(text, "map<string,string>")
+
+
+def trigger_numbers(text: Column) -> Column:
+    """``trigger_info``: its numbers; a value that is none is NULL."""
+    return F.transform_values(_text_map(text), lambda k, v: v.try_cast("bigint"))
+
+
+def parameter_maps(text: Column) -> Column:
+    """``overriding_parameters``: a map per kind; a kind that holds something
+    else (a list) keeps it as JSON text under the key ``json``."""
+    return F.transform_values(_text_map(text), lambda k, v: F.coalesce(_text_map(v), F.create_map(F.lit("json"), v)))
 
 
 def flatten_runs(payloads: DataFrame) -> DataFrame:
     """Run documents (top-level columns of ``RUN_PAYLOAD``) to run rows, in
-    the table's column order."""
+    the table's column order. Fields of varying form come as JSON text and
+    never cost the document; typed columns are taken as they are."""
+    varying = {"trigger_info": trigger_numbers, "overriding_parameters": parameter_maps}
+    types = dict(payloads.dtypes)
     cols = []
     for name, path, dtype in schemas.RUN_COLUMNS:
         c = run_tasks_summary(F.col("tasks")) if name == "job_tasks" else _path(path)
+        if path in varying and types.get(path) == "string":
+            c = varying[path](F.col(path))
         cols.append(c.cast(dtype).alias(name))
     return payloads.select(*cols)
 

@@ -211,6 +211,18 @@ def fill_attempt_ids(tasks: DataFrame, batch: DataFrame, outputs: DataFrame,
     return fill_missing(tasks, fills, "task_run_id", "task_original_attempt_run_id", source_column="_a")
 
 
+def snapshot_order(kind: str, terminal: Sequence[str] = TERMINAL_STATES) -> list:
+    """Newest first among snapshots of one run (``kind`` "job") or task
+    ("task"), by their own fields: finished ones, then the latest end, then
+    the longest durations. It does not depend on when a snapshot arrived."""
+    timed = (["job_end_time", "job_run_duration"] if kind == "job" else ["task_end_time"])
+    timed += [f"{kind}_execution_duration", f"{kind}_setup_duration", f"{kind}_cleanup_duration", f"{kind}_start_time"]
+    done = F.col(f"{kind}_state__life_cycle_state").isin(list(terminal))
+    return [F.coalesce(done, F.lit(False)).desc(), *[F.col(c).desc_nulls_last() for c in timed],
+            F.col(f"{kind}_state__life_cycle_state").desc_nulls_last(),
+            F.col(f"{kind}_state__result_state").desc_nulls_last()]
+
+
 def conform(df: DataFrame, schema) -> DataFrame:
     """Columns of ``schema`` in its order, cast to its types; a column the
     input lacks is a typed NULL."""

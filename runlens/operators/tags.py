@@ -38,18 +38,18 @@ def plan_tags(job_tags: DataFrame, desired: Mapping[str, str | None], overwrite:
     Status: ``no_change`` without changes, else ``dry_run`` or ``updated``;
     an id in ``job_ids`` with no job row gets ``error: job not found``.
     Output: job_id, status, changes array<struct<key, old, new>>, tags (the
-    job's current map; NULL for unknown jobs). ``apply_tags`` gives the new
+    job's current map, empty for a job without tags; NULL for unknown jobs). ``apply_tags`` gives the new
     map.
     """
     want = clean_desired(desired, allowed)
     ordered = [(k, want[k]) for k in allowed if k in want]
-    jt = job_tags.select("job_id", "tags")
+    # a job without tags (NULL map) is found and has an empty map
+    empty = F.create_map().cast("map<string,string>")
+    jt = job_tags.select("job_id", F.coalesce("tags", empty).alias("tags"), F.lit(True).alias("_found"))
     if job_ids is not None:
         ids = ids_frame(job_tags.sparkSession, job_ids).distinct()
-        jt = ids.join(jt, "job_id", "left").withColumn("_found", F.col("tags").isNotNull())
-    else:
-        jt = jt.withColumn("_found", F.lit(True))
-    tags = F.coalesce(F.col("tags"), F.create_map().cast("map<string,string>"))
+        jt = ids.join(jt, "job_id", "left").withColumn("_found", F.coalesce("_found", F.lit(False)))
+    tags = F.coalesce(F.col("tags"), empty)
     if ordered:
         wanted = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("new")) for k, v in ordered])
         proposed = F.transform(wanted, lambda d: F.struct(

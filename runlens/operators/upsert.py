@@ -69,11 +69,12 @@ def with_homes(target: DataFrame, source: DataFrame, keys: Sequence[str], part_c
     partition is simply not rewritten). The home lookup reads only the key
     and partition columns of the target."""
     keys = list(keys)
-    homes = (target.select(*keys, F.col(part_col).alias("_home"))
+    homes = (target.select(*keys, F.col(part_col).alias("_home"), F.lit(True).alias("_known"))
              .join(source.select(*keys).distinct(), keys, "left_semi"))
     out = source.join(homes, keys, "left")
-    return out.select(*[F.coalesce(F.col("_home"), F.col(part_col)).alias(part_col) if c == part_col
-                        else F.col(c) for c in source.columns])
+    # a known key's home may be the NULL partition
+    return out.select(*[F.when(F.col("_known"), F.col("_home")).otherwise(F.col(part_col)).alias(part_col)
+                        if c == part_col else F.col(c) for c in source.columns])
 
 
 def touched_partitions(source_homed: DataFrame, part_col: str) -> DataFrame:
@@ -94,10 +95,21 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str],
         source = latest_per_key(source, keys, order)
     homed = with_homes(target, source, keys, part_col)
     parts = touched_partitions(homed, part_col)
-    old = target.join(parts, part_col, "left_semi").select(*target.columns)
+    parts = parts.withColumnRenamed(part_col, "_part")
+    old = target.join(parts, F.col(part_col).eqNullSafe(F.col("_part")), "left_semi").select(*target.columns)
     return upsert(old, homed, keys)
 
 
+def newest(target: DataFrame | None, source: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The row to keep per key of ``source``: the first by ``order`` among the
+    source's rows and the target's row. With an order that does not depend on
+    arrival, any sequence of batches leads to the same table."""
+    if target is not None:
+        old = target.join(source.select(*keys).distinct(), list(keys), "left_semi")
+        source = source.unionByName(old, allowMissingColumns=True)
+    return latest_per_key(source, keys, order)
+
+
 def mark_missing(target: DataFrame, seen, key: str = "job_id", flag: str = "is_job_deleted",
                  keep=None) -> DataFrame:
     """Set ``flag`` to 'yes' for rows whose key is not in ``seen``.

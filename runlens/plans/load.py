@@ -21,6 +21,7 @@ from runlens.operators import discover as D
 from runlens.operators import flatten as FL
 from runlens.operators import incremental as I
 from runlens.operators import upsert as U
+from runlens.operators.common import ids_frame
 from runlens.session import checkpoint_dir, scratch_path
 from runlens.sources import payloads as PL
 from runlens.sources import tables as TB
@@ -87,14 +88,17 @@ def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: Data
               excluded: Sequence = (), tag_keys: Sequence[str] | None = None, host: str | None = None,
               workspace_id: str | None = None, tie_break: str | None = None,
               payload_column: str = "payload", check_staged: bool = True,
-              staged_ids: bool = True) -> JobLoad:
+              staged_ids: bool = True, dedupe_order: Sequence | None = None) -> JobLoad:
     """Discover jobs, flatten their payloads, normalise tags, upsert into
     ``current`` and flag jobs no longer discovered as deleted.
 
     Only payloads of discovered jobs are staged (semi join). Excluded jobs
     are left as they are in ``current``. With ``check_staged`` an empty
     staging raises ``StagingEmpty`` before anything is built on it, so a
-    mis-configured pair list cannot flag every job deleted.
+    mis-configured pair list cannot flag every job deleted. A landing with
+    several payloads of a job needs ``dedupe_order`` (columns of the payloads,
+    e.g. ``[F.col("landed_at").desc()]``): the first one counts. Without it a
+    repeated job raises ``DuplicateKeyError``.
     """
     found = D.discover(versions, pairs, excluded, workspace_id=workspace_id, tie_break=tie_break)
     if staged_ids:
@@ -103,9 +107,12 @@ def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: Data
         # the soft delete each
         found = stage(found.select("job_id").distinct(), "jobs")
     good, bad = _parsed(job_payloads, schemas.JOB_PAYLOAD, payload_column)
-    staged = FL.normalise_tags(
-        FL.flatten_jobs(good.join(found.select("job_id").distinct(), "job_id", "left_semi"), tag_keys, host),
-        keys=tag_keys)
+    good = good.join(found.select("job_id").distinct(), "job_id", "left_semi")
+    if dedupe_order is not None:
+        good = U.latest_per_key(good, ["job_id"], list(dedupe_order))
+    staged = FL.normalise_tags(FL.flatten_jobs(good, tag_keys, host), keys=tag_keys)
+    if dedupe_order is None:
+        U.check_unique(staged, ["job_id"])
     if check_staged and staged.isEmpty():
         raise StagingEmpty("no job matched the configured Team/Type pairs")
     if current is None:
@@ -113,7 +120,7 @@ def load_jobs(versions: DataFrame, job_payloads: DataFrame, pairs, current: Data
     merged = U.upsert(current, staged, ["job_id"])
     keep = None
     if excluded:
-        keep = merged.sparkSession.createDataFrame([(int(i),) for i in excluded], "job_id long")
+        keep = ids_frame(merged.sparkSession, excluded)
     return JobLoad(U.mark_missing(merged, found, keep=keep), bad)
 
 
@@ -134,7 +141,8 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
                run_payloads: DataFrame, outputs: DataFrame, payload_column: str = "payload",
                include_in_flight: bool = True, staged: bool = True,
-               dedupe_order: Sequence | None = None, state: I.LoadState | None = None) -> Batch:
+               dedupe_order: Sequence | None = None, state: I.LoadState | None = None,
+               every_payload: bool = False) -> Batch:
     """One incremental batch.
 
     1. jobs to read: live jobs and jobs with runs in flight;
@@ -162,17 +170,28 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
     ``state`` (``incremental.load_state`` once, then ``Batch.state`` of the
     previous batch) gives the jobs to read and their start bounds without
     scanning the run table; the result is the same.
+
+    ``every_payload`` is for sources that hand out each payload once (a file
+    stream): all payloads of the jobs in ``jobs`` are loaded whatever their
+    start, and per run and task id the newest snapshot among the batch's and
+    the table's own is kept (``I.snapshot_order``; a finished one is
+    never replaced by one in flight), so the tables do not depend on how
+    payloads are dealt into batches.
     """
     good, bad = _parsed(run_payloads, schemas.RUN_PAYLOAD, payload_column)
-    if state is not None:
+    starts = None
+    if every_payload:
+        new = good.join(jobs.select("job_id").distinct(), "job_id", "left_semi").select(*good.columns)
+    elif state is not None:
         monitored = I.monitored_from_state(jobs, state)
         starts = I.fetch_from_state(state, monitored, include_in_flight=include_in_flight)
     else:
         monitored = I.monitored_jobs(jobs, runs)
         starts = I.fetch_from(runs, monitored, include_in_flight=include_in_flight)
-    if staged:
-        starts = stage(starts, "starts")
-    new = I.select_new(good, starts)
+    if starts is not None:
+        if staged:
+            starts = stage(starts, "starts")
+        new = I.select_new(good, starts)
     if dedupe_order is not None:
         new = U.latest_per_key(new, ["run_id"], list(dedupe_order))
     if staged:
@@ -185,10 +204,17 @@ def load_batch(jobs: DataFrame, runs: DataFrame | None, tasks: DataFrame | None,
             done.state = state
             return done
     new_runs = FL.flatten_runs(new)
+    if every_payload:
+        new_runs = U.newest(runs, new_runs, ["job_run_id"], I.snapshot_order("job"))
+        if staged:
+            new_runs = stage(new_runs, "newest-runs")
     runs_out = U.upsert(runs, new_runs, ["job_run_id"])
 
     def task_side():
-        new_tasks = I.enrich_failures(FL.flatten_tasks(new), outputs)
+        flat = FL.flatten_tasks(new)
+        if every_payload:
+            flat = U.newest(tasks, flat, ["task_run_id"], I.snapshot_order("task"))
+        new_tasks = I.enrich_failures(flat, outputs)
         if staged:
             new_tasks = stage(new_tasks, "tasks")
         tasks_up = U.upsert(tasks, new_tasks, ["task_run_id"])
@@ -243,24 +269,25 @@ def publish(batch: Batch, version: str | int, base: str | None = None,
 def with_day(df: DataFrame, ms_col: str, name: str = "start_day", unit: str = "day") -> DataFrame:
     """Adds the start day (zone-free date of an epoch-ms column) as the
     partition column; ``unit='month'`` gives the first day of the month for
-    tables too thin for daily partitions. Start 0 falls on 1970-01-01. A row
+    tables too thin for daily partitions. Start 0 and no start (a task not yet
+    begun) fall on 1970-01-01, so there is no NULL partition. A row
     keeps the value it was first loaded with (``upsert_partitions`` homes
     keys), so the column is the start day at first load."""
     from runlens.functions import millis_to_ts
 
-    day = F.to_date(millis_to_ts(ms_col, ntz=True))
+    day = F.coalesce(F.to_date(millis_to_ts(ms_col, ntz=True)), F.lit("1970-01-01").cast("date"))
     if unit == "month":
         day = F.trunc(day, "month")
     return df.withColumn(name, day)
 
 
 def _existing(spark, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The table at ``path``, None if there is none. A table that is there but
+    cannot be read raises."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return None
+    return spark.read.parquet(path)
 
 
 def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str = "start_day",

@@ -172,7 +172,7 @@ from jobs""",
     "flatten_runs": """
 select r.job_run_id, r.job_id, r.job_start_time, r.job_end_time, r.job_run_duration, r.job_setup_duration,
   r.job_execution_duration, r.job_cleanup_duration, r.job_state__life_cycle_state, r.job_state__result_state,
-  coalesce(t.n, 0) n_tasks, t.ex tasks_execution_ms
+  coalesce(t.n, 0) n_tasks, coalesce(t.ex, 0) tasks_execution_ms
 from runs r left join (
   select task_job_run_id, count(*) n, sum(task_execution_duration) ex from tasks group by 1
 ) t on t.task_job_run_id = r.job_run_id""",
@@ -361,31 +361,32 @@ from jobs_norm j left join (select distinct job_id from discovered) d on d.job_i
 }
 
 _NEW_RUNS = """
-new_runs AS (
+new_runs AS MATERIALIZED (
   select r.* from runs r join snap_starts s on s.job_id = r.job_id where r.job_start_time >= s.fetch_from),
+snap AS MATERIALIZED (select * from snapshot),
 runs_out AS (
-  select * from snapshot where job_run_id not in (select job_run_id from new_runs)
+  select s.* from snap s anti join new_runs n on n.job_run_id = s.job_run_id
   union all
   select job_run_id, job_id, job_start_time, job_end_time, job_run_duration, job_setup_duration,
     job_execution_duration, job_cleanup_duration, job_state__life_cycle_state, job_state__result_state
   from new_runs),
-new_tasks AS (
-  select e.* from enriched e where e.task_job_run_id in (select job_run_id from new_runs)),
+new_tasks AS MATERIALIZED (
+  select e.* from enriched e semi join new_runs n on n.job_run_id = e.task_job_run_id),
 old_tasks AS (
   select t.task_run_id, t.task_job_run_id, t.task_start_time, t.task_state__result_state,
     cast(null as varchar) task_error, t.task_original_attempt_run_id
-  from tasks t where t.task_job_run_id in (select job_run_id from snapshot)),
-tasks_up AS (
-  select * from old_tasks where task_run_id not in (select task_run_id from new_tasks)
+  from tasks t semi join snap s on s.job_run_id = t.task_job_run_id),
+tasks_up AS MATERIALIZED (
+  select o.* from old_tasks o anti join new_tasks n on n.task_run_id = o.task_run_id
   union all
   select task_run_id, task_job_run_id, task_start_time, task_state__result_state, task_error,
     task_original_attempt_run_id
   from new_tasks),
-cand AS ({cand}),
-src AS (
-  select cast(run_id as bigint) task_run_id, max(cast(original_attempt_run_id as bigint)) a
-  from run_outputs where original_attempt_run_id is not null
-    and cast(run_id as bigint) in (select task_run_id from cand)
+cand AS MATERIALIZED ({cand}),
+src AS MATERIALIZED (
+  select c.task_run_id, max(cast(o.original_attempt_run_id as bigint)) a
+  from run_outputs o join (select distinct task_run_id from cand) c on c.task_run_id = cast(o.run_id as bigint)
+  where o.original_attempt_run_id is not null
   group by 1)
 """.replace("{cand}", _backfill("tasks_up", "new_tasks"))
 
@@ -400,10 +401,43 @@ from tasks_up t left join src s on s.task_run_id = t.task_run_id"""
 
 SQL["incremental_in_place"] = SQL["incremental_tasks"]
 
+SQL["load_jobs_repeated"] = SQL["load_jobs"]
+
+# every eleventh job without tags, ids -5 to -1 of no job; only absent keys are set
+_UNTAGGED = """
+untagged AS (
+  select job_id, true as found, job_id % 11 = 0 as bare, case when job_id % 11 <> 0 then job__tags__Team end team,
+    case when job_id % 11 <> 0 then job__tags__Type end type, case when job_id % 11 <> 0 then job__tags__Owner end owner,
+    case when job_id % 11 <> 0 then job__tags__Domain end as domain, case when job_id % 11 <> 0 then job__tags__Priority end priority,
+    case when job_id % 11 <> 0 then job__tags__Project end project
+  from jobs
+  union all
+  select cast(i as bigint), false, false, null, null, null, null, null, null from range(-5, 0) r(i)),
+planned AS (
+  select *, found and team is null as set_team, found and project is null as set_project from untagged),
+statused AS (
+  select *, case when not found then 'error: job not found' when set_team or set_project then 'updated' else 'no_change' end
+    status from planned)
+"""
+SQL["plan_tags_untagged"] = _UNTAGGED.strip() + """
+select job_id, status, 'Team' as key, cast(null as varchar) old_value, 'BUILDING' new_value from statused where set_team
+union all
+select job_id, status, 'Project', null, 'Proj3' from statused where set_project
+union all
+select job_id, status, null, null, null from statused where not set_team and not set_project"""
+SQL["apply_tags_untagged"] = _UNTAGGED.strip() + """
+select job_id, case when set_team then 'BUILDING' else team end team, type, owner, "domain", priority,
+  case when set_project then 'Proj3' else project end project
+from statused where found"""
+SQL["tag_summary_untagged"] = _UNTAGGED.strip() + """
+select count(*) filter (where status = 'updated') updated, cast(0 as bigint) dry_run,
+  count(*) filter (where status = 'no_change') no_change, count(*) filter (where starts_with(status, 'error')) errors
+from statused"""
+
 ORACLE: dict[str, str] = {}
 for _k, _body in SQL.items():
     _b = _body.strip()
-    if _b.startswith("new_runs AS"):
+    if _b.startswith(("new_runs AS", "untagged AS")):
         ORACLE[_k] = "WITH " + FIXTURES.strip() + ",\n" + _b
     elif _b.lower().startswith("with "):
         ORACLE[_k] = "WITH " + FIXTURES.strip() + ",\n" + _b[5:]

@@ -93,7 +93,7 @@ def q_flatten_runs(spark, sf):
     return r.select(
         "job_run_id", "job_id", "job_start_time", "job_end_time", "job_run_duration", "job_setup_duration",
         "job_execution_duration", "job_cleanup_duration", "job_state__life_cycle_state", "job_state__result_state",
-        F.when(F.col("job_tasks").isNull(), F.lit(0)).otherwise(F.size("job_tasks")).cast("long").alias("n_tasks"),
+        F.size("job_tasks").cast("long").alias("n_tasks"),
         F.aggregate("job_tasks", F.lit(0).cast("long"), lambda acc, t: acc + t["execution_duration"])
          .alias("tasks_execution_ms"))
 
@@ -271,6 +271,44 @@ def q_tag_summary(spark, sf):
     return TG.tag_summary(_plan(spark, sf))
 
 
+TAG_IDS_FROM = -5               # ids of no job, down from 0 to here
+
+
+def _plan_untagged(spark, sf):
+    """Every eleventh job without tags, ids that no job has, new keys only."""
+    jobs = _L(spark, sf).jobs
+    tagged = FX.job_tags(jobs).withColumn("tags", F.when(F.col("job_id") % 11 != 0, F.col("tags")))
+    ids = tagged.select("job_id").union(spark.range(TAG_IDS_FROM, 0).select(F.col("id").alias("job_id")))
+    return TG.plan_tags(tagged, DESIRED_TAGS, overwrite=False, dry_run=False, job_ids=ids)
+
+
+def q_plan_tags_untagged(spark, sf):
+    plan = _plan_untagged(spark, sf)
+    return plan.select("job_id", "status", F.explode_outer("changes").alias("c")).select(
+        "job_id", "status", F.col("c.key").alias("key"), F.col("c.old").alias("old_value"),
+        F.col("c.new").alias("new_value"))
+
+
+def q_apply_tags_untagged(spark, sf):
+    t = TG.apply_tags(_plan_untagged(spark, sf))
+    return t.select("job_id", *[F.col("tags")[k].alias(k.lower()) for k in schemas.REQUIRED_TAG_KEYS])
+
+
+def q_tag_summary_untagged(spark, sf):
+    return TG.tag_summary(_plan_untagged(spark, sf))
+
+
+def q_load_jobs_repeated(spark, sf):
+    """Every job landed twice: an older payload with another name first."""
+    L = _L(spark, sf)
+    old = L.job_payloads.withColumn("settings", F.col("settings").withField("name", F.lit("before")))
+    landed = old.withColumn("landed", F.lit(1)).unionByName(L.job_payloads.withColumn("landed", F.lit(2)))
+    out = LD.load_jobs(L.versions, landed, PAIRS, current=FL.normalise_tags(L.jobs), excluded=EXCLUDED, host=HOST,
+                       tie_break="version_id", payload_column="", dedupe_order=[F.col("landed").desc()])
+    return out.jobs.select("job_id", "is_job_deleted", "job__name", "job__tags__Team", "job__tags__Type",
+                           "job__tags__Priority", "job__schedule__timezone_id", "Job_link")
+
+
 def q_load_jobs(spark, sf):
     L = _L(spark, sf)
     current = FL.normalise_tags(L.jobs)          # the job table as an earlier load left it
@@ -312,7 +350,7 @@ def q_incremental_in_place(spark, sf):
     old_runs = I.conform_runs(_snapshot(spark, sf))
     old_tasks = I.conform_tasks(L.tasks.join(old_runs.select(F.col("job_run_id").alias("task_job_run_id")),
                                              "task_job_run_id", "left_semi"))
-    first = LD.Batch(old_runs, old_runs, old_tasks.limit(0), tasks=old_tasks, new_tasks=old_tasks,
+    first = LD.Batch(old_runs, old_runs, L.run_payloads.limit(0), tasks=old_tasks, new_tasks=old_tasks,
                      changed_tasks=old_tasks)
     # six years of runs, a few thousand rows a day at most here: monthly partitions
     LD.publish_partitions(first, runs_path, tasks_path, unit="month")
@@ -359,6 +397,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_tags": q_apply_tags,
     "tag_summary": q_tag_summary,
     "load_jobs": q_load_jobs,
+    "load_jobs_repeated": q_load_jobs_repeated,
+    "plan_tags_untagged": q_plan_tags_untagged,
+    "apply_tags_untagged": q_apply_tags_untagged,
+    "tag_summary_untagged": q_tag_summary_untagged,
     "incremental_runs": q_incremental_runs,
     "incremental_tasks": q_incremental_tasks,
     "incremental_in_place": q_incremental_in_place,

@@ -100,11 +100,11 @@ RUN_PAYLOAD = struct_of(
     ("cleanup_duration", L),
     ("run_duration", L),
     ("trigger", S),
-    ("trigger_info", LONG_MAP),
+    ("trigger_info", S),                 # JSON text: its form varies; see flatten.flatten_runs
     ("schedule", STR_MAP),
     ("job_clusters", STR_MAP_LIST),
     ("job_parameters", STR_MAP_LIST),
-    ("overriding_parameters", T.MapType(S, STR_MAP)),
+    ("overriding_parameters", S),        # JSON text
     ("state", STATE),
     ("tasks", T.ArrayType(TASK_PAYLOAD)),
 )

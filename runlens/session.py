@@ -52,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         return path
     path = path or sc.getCheckpointDir()
+    if not path and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not path:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="runlens-ckpt-"))
         path = sc.getCheckpointDir()

@@ -96,9 +96,25 @@ def test_flatten_runs(spark):
     assert a["job_trigger_info"] == {"run_id": 7}
     assert a["job_overriding_parameters"] == {"notebook_params": {"a": "b"}}
     assert len(a["job_tasks"]) == 2
-    assert set(a["job_tasks"][0].keys()) == set(schemas.RUN_TASK_KEYS)
+    # absent keys are left out, a run without tasks has an empty list
+    assert set(a["job_tasks"][0].keys()) <= set(schemas.RUN_TASK_KEYS)
+    assert None not in a["job_tasks"][0].values() and "execution_duration" not in a["job_tasks"][1]
     assert a["job_tasks"][0]["execution_duration"] == 20
-    assert r[200]["job_tasks"] is None and r[200]["job_state__life_cycle_state"] == "RUNNING"
+    assert r[200]["job_tasks"] == [] and r[200]["job_state__life_cycle_state"] == "RUNNING"
+
+
+def test_odd_typed_fields_do_not_cost_the_run(spark):
+    odd = [{"job_id": 1, "run_id": 1, "overriding_parameters": {"python_params": ["a", "b"], "notebook_params": {"x": "y"}},
+            "trigger_info": {"run_id": "not a number", "n": 3}},
+           {"job_id": 1, "run_id": 2, "overriding_parameters": "text", "trigger_info": "text"},
+           {"job_id": 1, "run_id": 3, "overriding_parameters": [1], "trigger_info": None}]
+    good, bad = parse(spark, odd, schemas.RUN_PAYLOAD)
+    assert bad.collect() == []
+    r = {x["job_run_id"]: x for x in FL.flatten_runs(good).collect()}
+    assert r[1]["job_overriding_parameters"] == {"python_params": {"json": '["a","b"]'}, "notebook_params": {"x": "y"}}
+    assert r[1]["job_trigger_info"] == {"run_id": None, "n": 3}
+    assert r[2]["job_overriding_parameters"] is None and r[2]["job_trigger_info"] is None
+    assert r[3]["job_overriding_parameters"] is None
 
 
 def test_flatten_tasks(spark):

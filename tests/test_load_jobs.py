@@ -51,3 +51,24 @@ def test_load_jobs_refuses_empty_staging(spark):
     v = versions(spark, [("w", 1, "a", {"Team": "web", "Type": "dev"}, t(1), None)])
     with pytest.raises(LD.StagingEmpty):
         LD.load_jobs(v, payloads(spark, [1]), [("data", "prod")])
+
+
+def test_load_jobs_with_repeated_payloads(spark):
+    from pyspark.sql import functions as F
+
+    from runlens.operators.upsert import DuplicateKeyError
+
+    v = versions(spark, [("w", 1, "a", {"Team": "data", "Type": "prod"}, t(1), None)])
+    landed = payloads(spark, [1]).withColumn("at", F.lit(1)).unionByName(
+        payloads(spark, [1]).withColumn("payload", F.replace("payload", F.lit("job1"), F.lit("renamed"))).withColumn("at", F.lit(2)))
+    with pytest.raises(DuplicateKeyError):
+        LD.load_jobs(v, landed, [("data", "prod")])
+    jobs = LD.load_jobs(v, landed, [("data", "prod")], dedupe_order=[F.col("at").desc()]).jobs
+    assert rows(jobs, "job_id", "job__name") == [(1, "renamed")]
+
+
+def test_excluded_ids_that_are_no_numbers_are_skipped(spark):
+    v = versions(spark, [("w", 1, "a", {"Team": "data", "Type": "prod"}, t(1), None)])
+    first = LD.load_jobs(v, payloads(spark, [1]), [("data", "prod")]).jobs
+    again = LD.load_jobs(v, payloads(spark, [1]), [("data", "prod")], current=first, excluded=["abc", " 7 "]).jobs
+    assert rows(again, "job_id", "is_job_deleted") == [(1, "no")]

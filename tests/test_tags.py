@@ -38,6 +38,16 @@ def test_plan_unknown_ids_and_summary(spark):
     assert s == {"updated": 0, "dry_run": 1, "no_change": 1, "errors": 1}
 
 
+def test_jobs_without_tags_are_found(spark):
+    jobs = spark.createDataFrame([(1, None), (2, {"Team": "ops", "Project": "p"}), (3, {})], "job_id long, tags map<string,string>")
+    plan = TG.plan_tags(jobs, DESIRED, overwrite=False, dry_run=False, job_ids=[1, 2, 3, 9])
+    assert rows(plan, "job_id", "status") == [
+        (1, "updated"), (2, "no_change"), (3, "updated"), (9, "error: job not found")]
+    got = {r["job_id"]: r["tags"] for r in TG.apply_tags(plan).collect()}
+    assert got == {1: {"Team": "ops", "Project": "p"}, 2: {"Team": "ops", "Project": "p"}, 3: {"Team": "ops", "Project": "p"}}
+    assert TG.tag_summary(plan).collect()[0].asDict() == {"updated": 2, "dry_run": 0, "no_change": 1, "errors": 1}
+
+
 def test_apply_tags(spark):
     out = TG.apply_tags(TG.plan_tags(job_tags(spark), DESIRED, overwrite=True))
     got = {r["job_id"]: r["tags"] for r in out.collect()}
