@@ -271,7 +271,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     cand = cand.select("band", "node", "weight").join(able, ["node", "weight"])
     pairable = (cand.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
                 .where("low <> high").select("band"))
-    cand = land.put(cand.join(pairable, "band", "left_semi"), "members")
+    cand = cand.join(pairable, "band", "left_semi")
+    every = cand.groupBy("node").agg(F.collect_set("band").alias("bands"))        # a node's bands are few
+    cand = land.put(cand.join(every, "node"), "members")
     runs = land.put(runs.join(able.select("node"), "node", "left_semi"), "member-runs")
     land.drop("candidates", "runs")
 
@@ -301,10 +303,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
         if turn < star_rounds:
             first = asked.groupBy("band").agg(F.min(F.struct("odd", "node", "weight", "wide", "rare", "comp")).alias("p"))
             asked = first.select("band", "p.node", "p.weight", "p.wide", "p.rare", "p.comp")
-        centre, other = (t.select("band", F.col("node").alias(x), F.col("weight").alias(f"w{x}"),
+        # a node asks another once, in the least of the bands in which they meet
+        in_bands = asked.groupBy("node").agg(F.collect_set("band").alias("asks"))
+        asked = asked.join(in_bands, "node")
+        once = F.array_min(F.array_intersect("asks", "bands")) == F.col("band")
+        centre, other = (t.select("band", lists, F.col("node").alias(x), F.col("weight").alias(f"w{x}"),
                                   F.col("wide").alias(f"wide_{x}"), F.col("rare").alias(f"rare_{x}"), F.col("comp").alias(f"c{x}"))
-                         for t, x in ((asked, "a"), (state, "b")))
-        pairs = (centre.join(other, "band").where((F.col("ca") != F.col("cb")) & close)
+                         for t, x, lists in ((asked, "a", "asks"), (state, "b", "bands")))
+        pairs = (centre.join(other, "band").where((F.col("ca") != F.col("cb")) & close & once)
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
