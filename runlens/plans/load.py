@@ -266,6 +266,19 @@ def publish(batch: Batch, version: str | int, base: str | None = None,
     return Published(paths, {k: o.get["rows"] for k, o in seen.items()})
 
 
+def publish_catalog(batch: Batch, settings) -> Published:
+    """Check and write both tables of a batch as the catalog tables that
+    ``settings`` (``config.Settings``) names for its environment. The new
+    contents are staged before either table is replaced, so the batch may read
+    the tables it replaces; tasks come first, the run table (which carries the
+    watermark) last."""
+    U.check_unique(batch.changed_runs, ["job_run_id"])
+    U.check_unique(batch.changed_tasks, ["task_run_id"])
+    staged = {"task_run_details": stage(batch.tasks, "tasks-out"), "job_run_details": stage(batch.runs, "runs-out")}
+    paths = {name: TB.save_table(df, settings.table(name)) for name, df in staged.items()}
+    return Published(paths, {name: df.count() for name, df in staged.items()})
+
+
 def with_day(df: DataFrame, ms_col: str, name: str = "start_day", unit: str = "day") -> DataFrame:
     """Adds the start day (zone-free date of an epoch-ms column) as the
     partition column; ``unit='month'`` gives the first day of the month for

@@ -360,6 +360,11 @@ select j.job_id,
 from jobs_norm j left join (select distinct job_id from discovered) d on d.job_id = j.job_id""",
 }
 
+SQL["long_running_now"] = (
+    SQL["long_running"].replace("r.job_run_duration elapsed_ms", "n.now - r.job_start_time elapsed_ms")
+    .replace("r.job_run_duration > 2.0", "n.now - r.job_start_time > 2.0")
+    .replace("from event_runs r left join a on", "from event_runs r cross join n left join a on"))
+
 _NEW_RUNS = """
 new_runs AS MATERIALIZED (
   select r.* from runs r join snap_starts s on s.job_id = r.job_id where r.job_start_time >= s.fetch_from),

@@ -237,6 +237,11 @@ def q_long_running(spark, sf):
     return R.long_running(I.conform_runs(_L(spark, sf).event_runs), elapsed="duration", ntz=True)
 
 
+def q_long_running_now(spark, sf):
+    """The report's default form: elapsed time is now (the newest start) - start."""
+    return R.long_running(I.conform_runs(_L(spark, sf).event_runs), ntz=True)
+
+
 def q_latest_status(spark, sf):
     return R.latest_status(_L(spark, sf).event_runs, ntz=True)
 
@@ -389,6 +394,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failure_trend": q_failure_trend,
     "recurring_errors": q_recurring_errors,
     "long_running": q_long_running,
+    "long_running_now": q_long_running_now,
     "latest_status": q_latest_status,
     "standards_flags": q_standards_flags,
     "standards_summary": q_standards_summary,
