@@ -24,7 +24,7 @@ also rows that repeat an id or have none; an empty table gives an empty one.
 
 from __future__ import annotations
 
-from itertools import accumulate
+import struct
 
 import numpy as np
 from pyspark import TaskContext
@@ -69,18 +69,27 @@ class WordTokenizer:
         got = self.runs.get(piece)
         if got is None:
             shown = piece.encode().decode("latin-1").translate(self.alphabet)
-            got = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+            ids = [t.id for t in self.model.tokenize(shown)]
+            got = struct.pack("<%dI" % len(ids), *ids)
             if len(self.runs) >= self.keep:
                 self.runs.clear()
             self.runs[piece] = got
         return got
 
+    def slow(self, part: str) -> bytes:
+        return np.array(self.whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
     def part(self, part: str) -> bytes:
         low = part.lower()
-        if "ƀ" > max(part) and min(part) > " " and low.isprintable():
-            got = b"".join(map(self.run, self.find(low)))
+        if part.isascii() or "ƀ" > max(part):
+            if low.isalpha():                       # one run of letters
+                got = self.run(low)
+            elif low.isprintable() and "\xa0" not in low:
+                got = b"".join(map(self.run, self.find(low)))
+            else:
+                got = self.slow(part)
         else:
-            got = np.array(self.whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+            got = self.slow(part)
         if len(self.parts) >= self.keep:
             self.parts = {"": b""}
         self.parts[part] = got
