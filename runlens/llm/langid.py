@@ -339,9 +339,15 @@ def fit(docs: DataFrame, fit_docs: int = 400, calibration_docs: int = 150, order
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     usable_rows = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                           & ~held_out(F.col("doc_id")))
-    order_by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id")
-    ids = (usable_rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order_by))
-           .where(F.col("rank") <= fit_docs + calibration_docs)
+    # the first rows by a hash: of each language only those below a bound that
+    # holds about four times as many are ranked at all
+    most = fit_docs + calibration_docs
+    known = usable_rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 31)).alias("h"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))                  # a row a label
+    order_by = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ids = (known.join(F.broadcast(sizes), "lang")
+           .where(F.col("h") / float(1 << 31) * F.col("n") <= 4 * most + 40)
+           .withColumn("rank", F.row_number().over(order_by)).where(F.col("rank") <= most)
            .groupBy("doc_id", "lang").agg(F.min("rank").alias("rank")))
     # at most (fit_docs + calibration_docs) ids a language
     sample = usable_rows.join(F.broadcast(ids), ["doc_id", "lang"])
