@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -265,3 +266,37 @@ def test_licence_paragraphs(spark):
     assert {k: round(r.probability, 6) for k, r in got.items()} == want
     assert licenses.scanned(docs.limit(0), model).collect() == []
     assert licenses.fit(docs.limit(0)).families == sorted(licenses.TEMPLATES)
+
+
+def test_licence_notices_wrapped_over_lines(spark):
+    filler = ["the rain fell on the quiet town all night", "nothing of the sort was ever said by them"]
+    long = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts if len(t) > 80]
+    assert {f for f, _ in long} >= {"MIT", "BSD-3-Clause", "GPL-3.0", "Apache-2.0"}
+    texts, want = [], []
+    for f, t in long:
+        for width in (20, 70, 75, 80):
+            for lead in ("", "# ", " * "):
+                cut = [lead + x for x in textwrap.wrap(t, width, break_long_words=False)]
+                texts.append("\n".join([filler[0], "", "by the author:", *cut, filler[1]]))
+                want.append((f, 3, 3 + len(cut)))
+    for tail in ("", "\n\n" + texts[0]):          # two copies in one block; then a third in another
+        cut = textwrap.wrap(long[-1][1], 72)
+        texts.append("\n".join([*cut, *cut]) + tail)
+    apart = [line for line in textwrap.wrap(long[-1][1], 72)]
+    texts.append("\n\n".join(apart))              # no block of several lines
+    docs = make(spark, texts + filler * 10)
+    model = licenses.fit(docs)
+    rows = licenses.scanned(docs.union(docs.where("doc_id = 1")), model).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append(r)
+    for i, (f, a, b) in enumerate(want):
+        sure = [r for r in got.get(i, []) if r.confirmed]
+        assert sure and {r.family for r in sure} == {f}, (i, f, got.get(i), texts[i])
+        assert all(a <= r.paragraph and r.paragraph + r.lines <= b for r in sure), (sure, texts[i])
+        assert max(r.template_share for r in sure) >= 0.6
+    assert {r.copies for r in got[1]} == {2} and {r.copies for r in got[0]} == {1}
+    n = len(want)
+    assert len([r for r in got[n] if r.confirmed]) == 2 and len([r for r in got[n + 1] if r.confirmed]) == 3
+    assert not any(r.lines > 1 for r in got.get(n + 2, []))
+    assert not any(r.confirmed for d, rs in got.items() if d > n + 2 for r in rs)
