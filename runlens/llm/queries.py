@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, chat, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk
+from . import base, chat, exact_dedup, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +110,11 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document that stays of every group of equal texts."""
+    return exact_dedup.matched(base.table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py``, one after the other."""
     import corpus_pipeline
@@ -129,6 +134,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op12_exact_dedup": op12_exact_dedup,
 }
 
 CHAT_SQL = r"""
@@ -163,5 +169,6 @@ from s qualify rank <= 5
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": CHAT_SQL,
     "op4_top_k": TOP_K_SQL,
+    "op12_exact_dedup": exact_dedup.SQL,
     "op8_mixing": mixing.sql(MIX_WEIGHTS, (9, 10), 2, MIX_SEED, MIX_PATH),
 }
