@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, chat, exact_dedup, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk
+from . import base, chat, exact_dedup, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk, zfast
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +115,13 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.matched(base.table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    turns = zfast.ordered(base.table(spark, sf_dir, "conversations"))
+    turns = base.Landing(spark, "prefix-trie").put(turns, "turns")
+    return zfast.trie(zfast.rebuilt(turns))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline.py``, one after the other."""
     import corpus_pipeline
@@ -135,6 +142,7 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 CHAT_SQL = r"""
@@ -170,5 +178,6 @@ ORACLE: dict[str, str] = {
     "op1_chat_formatting": CHAT_SQL,
     "op4_top_k": TOP_K_SQL,
     "op12_exact_dedup": exact_dedup.SQL,
+    "op13_prefix_trie": zfast.SQL,
     "op8_mixing": mixing.sql(MIX_WEIGHTS, (9, 10), 2, MIX_SEED, MIX_PATH),
 }

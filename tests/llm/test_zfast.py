@@ -1,0 +1,128 @@
+"""The z-fast trie against a trie of Python dictionaries."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from runlens.llm import base, zfast
+
+COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def told(rows):
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            text = text or ""
+            out[conv].append(((turn is not None, turn or 0), role or "", hashlib.md5(text.encode()).hexdigest(), text))
+    return {c: [(r, t) for _, r, _, t in sorted(v)] for c, v in out.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        origin = c - (c % 100 if c >= 0 else -(-c % 100))
+        out[c] = convs.get(origin, [])[:h] + own[h:]
+    return out
+
+
+def plain_trie(convs):
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(convs):
+        s = tuple(convs[c])
+        for d in range(len(s) + 1):
+            members[s[:d]].append(c)
+        ends[s].append(c)
+    kids = defaultdict(list)
+    for p in members:
+        if p:
+            kids[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        saved[p] = sum(saved[k] for k in kids[p]) + (len(members[p]) - 1) * (len(p[-1][1]) if p else 0)
+    return sorted(((members[p][0], len(p), members[p[:-1]][0] if p else None, len(members[p]), len(kids[p]), leaves[p], saved[p],
+                    hashlib.sha256(",".join(map(str, ends.get(p, []))).encode()).hexdigest()) for p in members), key=repr)
+
+
+def got(df):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in df.collect()), key=repr)
+
+
+def conversations(spark, convs):
+    rows = [(c, i, r, t) for c, turns in convs.items() for i, (r, t) in enumerate(turns)]
+    return zfast.ordered(spark.createDataFrame(rows, SCHEMA))
+
+
+CASES = [
+    [],
+    [(1, 0, "user", "hi"), (1, 1, "assistant", "there"), (101, 0, "user", "hi"), (101, 1, "assistant", None)],
+    [(None, 0, "user", "x"), (5, None, None, None), (5, None, None, None), (5, 0, "a", "b"), (5, 0, "a", "a"), (-250, 1, "u", "é")],
+    [(c, t, "user", f"{'x' * t}") for c in range(200, 330) for t in range(c % 4 + 1)],
+    [(7, t, "user", "y" * 50_000) for t in range(3)] + [(300, t, "u", str(t)) for t in range(70)] + [(301, t, "u", str(t)) for t in range(70)],
+]
+
+
+@pytest.mark.parametrize("rows", CASES)
+def test_rebuilt_conversations(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"hi": F.lit(1), "n": F.lit("k"), "depth": F.lit(2)})
+    assert got(zfast.trie(zfast.rebuilt(zfast.ordered(df)))) == plain_trie(rebuilt(told(rows)))
+
+
+def random_convs(pick, count):
+    """Conversations with shared openings of every length, many of them equal."""
+    return {c: [("u", "abc"[pick(3)] * (pick(2) + 1)) for _ in range(pick(9))] for c in range(count)}
+
+
+def test_many_batches_cut_and_extend_edges(spark):
+    import random
+
+    rng = random.Random(5)
+    convs = random_convs(rng.randrange, 1500)
+    convs.update({5000 + i: [("u", "long")] * n for i, n in enumerate((40, 23, 64, 17, 40, 33))})
+    convs = {c: t for c, t in convs.items() if t}
+    assert got(zfast.trie(conversations(spark, convs))) == plain_trie(convs)
+
+
+def test_ids_that_end_at_one_node_in_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(zfast, "ID_RUN", 7)
+    convs = {c: [("u", "same")] for c in range(-60, 240, 3)}
+    assert got(zfast.trie(conversations(spark, convs))) == plain_trie(convs)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.integers(-120, 400), st.lists(st.tuples(st.sampled_from(["u", "a"]), st.sampled_from(["", "x", "yy"])), min_size=1, max_size=12),
+                       min_size=1, max_size=60))
+def test_any_conversations(spark, convs):
+    assert got(zfast.trie(conversations(spark, convs))) == plain_trie(convs)
+
+
+def test_two_fattest(spark):
+    pairs = [(a, b) for a in range(0, 70) for b in range(a + 1, 71)]
+    df = spark.createDataFrame(pairs, "a int, b int").select("a", "b", zfast.two_fattest(F.col("a"), F.col("b")).alias("f"))
+    for a, b, f in df.collect():
+        best = max(range(a + 1, b + 1), key=lambda x: x & -x)
+        assert f == best
+
+
+def test_exit_nodes_by_fat_search(spark):
+    """What is matched equals the longest common prefix with any string of the trie."""
+    import random
+
+    rng = random.Random(9)
+    have = {c: t for c, t in random_convs(rng.randrange, 120).items() if t}
+    ask = {1000 + c: t for c, t in random_convs(rng.randrange, 200).items() if t}
+    land = base.Landing(spark, "test-zfast")
+    _, _, nodes = zfast.build(conversations(spark, have), land)
+    paths, strings, _ = zfast.build(conversations(spark, ask), land)
+    for r in zfast.located(paths, nodes, 16).collect():
+        s = ask[r["conv_id"]]
+        want = max(next((i for i, (x, y) in enumerate(zip(s, t)) if x != y), min(len(s), len(t))) for t in have.values())
+        assert r["lcp"] == want
