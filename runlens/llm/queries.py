@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, chat, exact_dedup, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk, zfast
+from . import align, base, chat, exact_dedup, langid, licenses, mixing, near_dup, packing, quality_ordinal, quality_rules, substring, topk, zfast
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +110,12 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document line up."""
+    docs = base.table(spark, sf_dir, "documents")
+    return align.scored(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document that stays of every group of equal texts."""
     return exact_dedup.matched(base.table(spark, sf_dir, "documents"))
@@ -141,6 +147,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_exact_dedup": op12_exact_dedup,
     "op13_prefix_trie": op13_prefix_trie,
 }
