@@ -6,13 +6,12 @@ bulk-synchronous best fit. Lengths are whole numbers up to the sequence's
 length, and pieces of equal length, like gaps of equal size, can stand for
 each other: the range-sorted order of all pieces is given by the number of
 pieces of each length and a piece's rank within its length, and likewise for
-gaps. A sweep matches, from long to short, each length with the smallest gap
-that holds it; where several lengths meet in one gap size the longer come
-first and ranks decide who gets a gap and who waits for the next sweep; gaps
-are updated, and new sequences are opened when no gap fits. A sweep's state is
-a few rows a length, whatever the number of documents, so it is planned on the
-counts and carried out on all pieces at once: a piece finds its place by
-joining its length and rank with the sweeps' rank intervals.
+gaps. A sweep gives the pieces of one length, in order of rank, to the smallest
+gaps that hold them, updates the gaps, and opens sequences only for pieces
+that no gap holds. The sweeps are planned on the driver, on counts by length (at
+most 2048 rows, whatever the number of documents), and carried out on Spark for
+all pieces at once: a piece finds its place by joining its length and rank with
+the sweeps' rank intervals. A join for each sweep would be one job a length.
 
 Ranks within a length are counted in two steps (parts of a length by a hash,
 then their running sums), so a length that a third of all pieces have is not
@@ -52,8 +51,8 @@ class WordTokenizer:
         import regex
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path)      # control strings in a text give their own ids, as the file says
+        self.control = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.find = regex.compile(self.PIECES).findall
         # the byte alphabet of byte-level BPE: printable bytes stand for
@@ -81,7 +80,9 @@ class WordTokenizer:
 
     def part(self, part: str) -> bytes:
         low = part.lower()
-        if part.isascii() or "ƀ" > max(part):
+        if any(c in part for c in self.control):
+            got = self.slow(part)
+        elif part.isascii() or "ƀ" > max(part):
             if low.isalpha():                       # one run of letters
                 got = self.run(low)
             elif low.isprintable() and "\xa0" not in low:
@@ -141,56 +142,48 @@ def sweeps(counts: dict[int, int], length: int = LENGTH) -> list[tuple[int, int,
     (piece length, first rank, number, first sequence, offset): the pieces of
     that length and those ranks go to consecutive sequences, at that offset.
 
-    Lengths are taken in bands by how many fit into one sequence, long ones
-    first. In a band, sweeps match lengths with their successor among the gap
-    sizes until none fits; then the longest that are left open sequences."""
-    waiting = {n: [0, c] for n, c in counts.items() if c > 0}      # length: next rank, left
-    gaps: dict[int, list[tuple[int, int]]] = {}                    # size: (first sequence, number)
+    One sweep a length, from long to short: the gaps that hold it are taken
+    from the smallest up, each for as many of its pieces as fit, and only what
+    is left then opens sequences. Every piece so lies in the smallest gap that
+    held it, as by best fit one piece at a time. A sweep's gaps are at most
+    ``length`` sizes, each a list of runs of sequences."""
+    gaps: dict[int, list[tuple[int, int]]] = {}                    # size: runs of (first sequence, number)
     placed, opened = [], 0
 
-    def place(n: int, number: int, first: int, offset: int) -> None:
-        rank = waiting[n]
-        placed.append((n, rank[0], number, first, offset))
-        rank[0] += number
-        rank[1] -= number
-        if length - offset - n:
-            fresh.setdefault(length - offset - n, []).append((first, number))
-
-    bands = sorted({length // n for n in waiting})
-    for per in bands:
-        while True:
-            left = sorted((n for n in waiting if waiting[n][1] and length // n == per), reverse=True)
-            if not left:
+    def run(n: int, rank: int, take: int, first: int, size: int) -> int:
+        """The next ``take`` pieces into gaps of one size from ``first`` on,
+        one gap filled up after the other; returns what is left of them."""
+        each = size // n
+        full, rest = divmod(take, each)
+        for k in range(each if full else 0):                       # ranks: k-th piece of every full gap
+            placed.append((n, rank + k * full, full, first, length - size + k * n))
+        for k in range(rest):                                      # and of the last one, which has room left
+            placed.append((n, rank + each * full + k, 1, first + full, length - size + k * n))
+        for number, start, left in ((full, first, size - each * n), (1 if rest else 0, first + full, size - rest * n)):
+            if number and left:
+                fresh.setdefault(left, []).append((start, number))
+        return full + (1 if rest else 0)
+
+    for n in sorted((n for n, c in counts.items() if c > 0), reverse=True):
+        waiting, rank = counts[n], 0
+        fresh: dict[int, list[tuple[int, int]]] = {}
+        for size in sorted(g for g in gaps if g >= n):
+            stock = gaps[size]
+            while waiting and stock:
+                first, number = stock.pop()
+                take = min(waiting, number * (size // n))
+                used = run(n, rank, take, first, size)
+                rank, waiting = rank + take, waiting - take
+                if used < number:
+                    stock.append((first + used, number - used))
+            if not stock:
+                del gaps[size]
+            if not waiting:
                 break
-            sizes = np.array(sorted(gaps))
-            fresh: dict[int, list[tuple[int, int]]] = {}
-            at = np.searchsorted(sizes, left) if len(sizes) else np.full(len(left), 0)
-            matched = False
-            for n, i in zip(left, at):                  # ranks: longer pieces come first at a gap size
-                if i >= len(sizes):
-                    continue
-                stock = gaps[int(sizes[i])]
-                while waiting[n][1] and stock:
-                    first, number = stock.pop()
-                    take = min(number, waiting[n][1])
-                    if take < number:
-                        stock.append((first + take, number - take))
-                    place(n, take, first, length - int(sizes[i]))
-                    matched = True
-            if not matched:
-                total = sum(waiting[n][1] for n in left)
-                need = max(1, -(-total // per))
-                for n in left:
-                    take = min(need, waiting[n][1])
-                    if take:
-                        place(n, take, opened, 0)
-                        opened += take
-                        need -= take
-                    if not need:
-                        break
-            gaps = {g: s for g, s in gaps.items() if s}
-            for g, s in fresh.items():
-                gaps.setdefault(g, []).extend(s)
+        if waiting:
+            opened += run(n, rank, waiting, opened, length)
+        for size, runs in fresh.items():
+            gaps.setdefault(size, []).extend(runs)
     return placed
 
 
