@@ -334,23 +334,28 @@ def held_out(doc_id, folds: int = 5):
 def fit(docs: DataFrame, fit_docs: int = 400, calibration_docs: int = 150, order: int = ORDER,
         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", margin: float = 0.5) -> Model:
     """Learn from rows outside the test fold with a text and a language: at
-    most ``fit_docs`` a language for the counts and ``calibration_docs`` more
-    for the rejection threshold and the scale of the score."""
+    most ``fit_docs`` ids a language for the counts and ``calibration_docs``
+    more for the rejection threshold and the scale of the score. Whole texts
+    are read; an id that repeats counts once, by its smallest text. This is the
+    bounded sample of labelled rows that a classifier may be fitted on."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     usable_rows = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                           & ~held_out(F.col("doc_id")))
-    # the first rows by a hash: of each language only those below a bound that
-    # holds about four times as many are ranked at all
+    # the first ids by a hash: of each language only those below a bound that
+    # holds about four times as many are ranked at all. Ids are counted once,
+    # however many rows they have; of an id's texts the smallest is read
     most = fit_docs + calibration_docs
-    known = usable_rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 31)).alias("h"))
+    known = (usable_rows.select("doc_id", "lang").distinct()
+             .withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 31))))
     sizes = known.groupBy("lang").agg(F.count("*").alias("n"))                  # a row a label
     order_by = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = (known.join(F.broadcast(sizes), "lang")
            .where(F.col("h") / float(1 << 31) * F.col("n") <= 4 * most + 40)
            .withColumn("rank", F.row_number().over(order_by)).where(F.col("rank") <= most)
-           .groupBy("doc_id", "lang").agg(F.min("rank").alias("rank")))
+           .select("doc_id", "lang", "rank"))
     # at most (fit_docs + calibration_docs) ids a language
-    sample = usable_rows.join(F.broadcast(ids), ["doc_id", "lang"])
+    sample = (usable_rows.join(F.broadcast(ids), ["doc_id", "lang"])
+              .groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text")))
     grams = grams_of(sample.where(F.col("rank") <= fit_docs), order).toPandas()
     langs = sorted(grams["lang"].unique().tolist())
     if not langs:

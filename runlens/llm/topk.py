@@ -13,12 +13,16 @@ Defined cases: vectors that are null or hold a null or non-finite component,
 and rows with a null id, take no part; an empty vector scores 0 with empty
 ones; vectors are only compared with those of their own length; a query does
 not find rows of its own id; equal scores go to the smaller id; fewer than k
-candidates: all of them. Scores are exact as long as they fit 64 bits.
+candidates: all of them. An id with several vectors is one query, and finds a
+row with the best score over them; every row is a candidate of its own, rows
+that repeat an id too. Scores are exact; a table whose components are so large
+that a score might not fit 64 bits raises an error.
 """
 
 from __future__ import annotations
 
 import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +31,11 @@ from . import base
 CHUNK = 4096
 BLOCK = 1024
 LEVELS = 256
-PACKED = "part int, dim int, ids binary, cells binary, exact binary"
+PACKED = "part int, dim int, first long, ids binary, cells binary, exact binary"
 
 
 def whole_numbers(vec: Column, scale: int = 256) -> Column:
-    return F.transform(vec, lambda x: F.floor(F.lit(scale) * x.cast("double")))
+    return F.transform(vec, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
 
 
 def usable(vec: Column) -> Column:
@@ -49,7 +53,7 @@ def pack(rows: DataFrame, size: int, parts: int, low: int, width: int) -> DataFr
     def run(batches):
         import pyarrow as pa
 
-        n = 0
+        n = TaskContext.get().partitionId() << 40          # rows are told apart by number
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
@@ -58,14 +62,13 @@ def pack(rows: DataFrame, size: int, parts: int, low: int, width: int) -> DataFr
                     cut = own.slice(i, size)
                     v = matrix(cut, "v", int(dim)) if dim else np.zeros((cut.num_rows, 0), np.int64)
                     ids = cut.column("vec_id").to_numpy()
-                    part = int((np.uint64(int(ids[0]) & (2 ** 64 - 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33))
-                               % np.uint64(parts))
-                    n += 1
+                    part = int(ids[0]) * 0x9E3779B97F4A7C15 % 2 ** 64 // 2 ** 33 % parts
                     cells = ((v - low) // width).astype(np.uint8)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([part], pa.int32()), pa.array([dim], pa.int32()), pa.array([ids.tobytes()]),
-                         pa.array([cells.tobytes()]), pa.array([v.tobytes()])],
-                        names=["part", "dim", "ids", "cells", "exact"])
+                        [pa.array([part], pa.int32()), pa.array([dim], pa.int32()), pa.array([n], pa.int64()),
+                         pa.array([ids.tobytes()]), pa.array([cells.tobytes()]), pa.array([v.tobytes()])],
+                        names=["part", "dim", "first", "ids", "cells", "exact"])
+                    n += cut.num_rows
 
     return rows.mapInArrow(run, PACKED)
 
@@ -86,6 +89,13 @@ def bounds(q: np.ndarray, cells: np.ndarray, low: int, width: int, floats: bool)
             product(up, hi, floats) + product(down, lo, floats))
 
 
+def fits(vecs: DataFrame, width: int, dims: int) -> bool:
+    """Whether the two longest vectors' product, cells and all, fits 64 bits."""
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    longest = [r["length"] for r in vecs.select(length.alias("length")).orderBy(F.col("length").desc()).limit(2).collect()]
+    return len(longest) < 2 or longest[0] * (longest[1] + width * dims ** 0.5) < 2.0 ** 63
+
+
 def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` for every row
@@ -102,9 +112,11 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
     low, high, dims = int(span["low"] or 0), int(span["high"] or 0), int(span["dim"] or 1)
     width = (high - low) // LEVELS + 1
     most = max(abs(low), abs(high)) + width
+    if most * most * dims >= 2 ** 63 and not fits(vecs, width, dims):
+        raise ValueError("components too large: a score might not fit 64 bits")
     floats = most * most * dims < 2 ** 52
     chunks = land.put(pack(vecs.select("vec_id", "v", "dim"), CHUNK, parts, low, width), "chunks")
-    asked = vecs.where("query").select("vec_id", "v", "dim").dropDuplicates(["vec_id", "dim"])
+    asked = vecs.where("query").select("vec_id", "v", "dim").dropDuplicates(["vec_id", "v"])
     blocks = pack(asked, BLOCK, parts, low, width).select(
         "dim", F.col("ids").alias("q_ids"), F.col("exact").alias("q"))
     blocks = land.put(blocks.withColumn("block", F.xxhash64("q_ids", "dim")), "blocks")
@@ -155,7 +167,7 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
                 else:
                     q, exact = np.zeros((len(qids), 0), np.int64), np.zeros((len(ids), 0), np.int64)
                     upper = np.zeros((len(qids), len(ids)), np.int64)
-                out_q, out_v, out_s = [], [], []
+                out_q, out_v, out_s, out_r = [], [], [], []
                 for i in range(len(qids)):
                     at = np.flatnonzero((upper[i] >= need[i]) & (ids != qids[i]))
                     if not len(at):
@@ -175,12 +187,14 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
                     out_q.append(np.full(len(top), qids[i]))
                     out_v.append(ids[read][top])
                     out_s.append(seen[top])
+                    out_r.append(read[top] + r["first"])
                 if out_q:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)],
-                                                     names=["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s, out_r)],
+                                                     names=["query_id", "vec_id", "score", "row"])
 
     final = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     pairs = chunks.join(known.select("block", "dim", "q_ids", "q", "least", every), ["part", "dim"])
-    return (pairs.mapInArrow(second, "query_id long, vec_id long, score long")
+    return (pairs.mapInArrow(second, "query_id long, vec_id long, score long, row long")
+            .groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -91,3 +91,17 @@ def test_search_with_large_numbers(spark):
     rows = [(50 * i, [1e6 * (i - 3) + 0.5, -2e6 * i]) for i in range(7)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert {tuple(r) for r in topk.search(df, F.col("vec_id") % 50 == 0).collect()} == brute(rows)
+
+
+def test_search_with_several_vectors_of_one_id(spark):
+    """Both vectors of query 50 are asked; a row keeps its best score."""
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 5.0]), (2, [0.0, 5.0]), (3, [-1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == [(50, 1, 2, 327680), (50, 2, 2, 327680), (50, 3, 3, 131072), (50, 4, 1, 65536)]
+
+
+def test_scores_beyond_64_bits_raise(spark):
+    df = spark.createDataFrame([(50, [1e20, 1.0]), (1, [1e20, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        topk.search(df, F.col("vec_id") % 50 == 0)

@@ -184,6 +184,19 @@ def test_language_models(spark):
     assert langid.detect(docs.limit(0), model).collect() == []
 
 
+def test_language_of_many_rows_under_few_ids(spark):
+    """20,000 rows over 8 ids are eight labelled texts, and are learned."""
+    _, rows = lang_docs(spark)
+    de = [(1000 + i, r[1], "de") for i, r in enumerate(r for r in rows if r[2] == "de")]
+    en = [r[1] for r in rows if r[2] == "en"]
+    few = spark.createDataFrame([(i, t) for i, t in enumerate(en[:8] or en)], "k long, text string")
+    many = spark.range(20_000).withColumn("k", F.col("id") % 8).join(few, "k").select(
+        (F.col("k") + 1).alias("doc_id"), "text", F.lit("en").alias("lang"))
+    docs = many.unionByName(spark.createDataFrame(de, "doc_id long, text string, lang string"))
+    model = langid.fit(docs)
+    assert model.langs == ["de", "en"]
+
+
 def test_kneser_ney_sums_to_one():
     texts = ["abra", "cadabra", "abc", "bad"]
     n, g, ctx, suf, bos, cnt = langid.count_grams(texts, np.array([3, 1, 2, 1]), 3)
