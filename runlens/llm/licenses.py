@@ -14,7 +14,7 @@ paragraph.
 Notices wrapped over lines are a second unit: neighbouring lines of a block
 (lines with words, up to one without) that together hold enough of a template
 none of them holds alone. They are searched in windows of twice the template's
-pairs, the best first, without overlap; windows of one family that share a
+pairs, without overlap; windows of one family that share a
 line are one notice. Its lines are scored as one paragraph; if its family is
 sure, it gives one confirmed row, which stands for its lines, other than lines
 confirmed for another family.
@@ -241,9 +241,11 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, sample: int = 3000, text_col: str = "text", id_col: str = "doc_id",
-        enough: float = 0.6) -> Model:
+        enough: float = 0.6, line_chars: int = 2000) -> Model:
     """Weights from the templates and the paragraphs of at most ``sample / 10``
-    documents (at most ``sample`` paragraphs), the first by a hash of their id."""
+    documents (at most ``sample`` whole paragraphs, none longer than
+    ``line_chars``), the first by a hash of their id. Sampled lines with a word
+    that begins with licen or copyright are no negatives: they may be notices."""
     few = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
            .withColumn("order", F.xxhash64("doc_id", F.lit(11))))
     ids = few.select("order").orderBy("order").limit(max(1, sample // 10)).agg(F.max("order").alias("last"))
@@ -251,8 +253,8 @@ def fit(docs: DataFrame, sample: int = 3000, text_col: str = "text", id_col: str
     if last is None:
         return train([])
     few = base.texts_of(few.where(F.col("order") <= last))
-    rows = (paragraphs(few, "doc_id", "text").orderBy(F.xxhash64("line"), "line")
-            .select("doc_id", "paragraph", F.substring("line", 1, 2000).alias("line")).limit(sample).collect())
+    rows = (paragraphs(few, "doc_id", "text").where(F.length("line") <= line_chars)
+            .orderBy(F.xxhash64("line"), "line").limit(sample).collect())
     # lines of wrapped notices are no texts without a licence
     anchors = anchor_words([r["line"] for r in rows])
     land = base.Landing(base.session_of(docs), "licenses-fit")
@@ -277,25 +279,23 @@ def anchored(text: Column, anchors: list[str]) -> Column:
     return F.exists(F.array(F.lower(text)), any_of)      # lower case once a text
 
 
-# Before a line without words.
-BREAK = r"(?<=\n)(?=[^\p{L}\p{N}\n]*(?:\n|\z))"
 # A word goes on in the next line after a hyphen.
 HYPHEN = r"([\p{L}\p{N}]-)\n([^\p{L}\p{N}\n]*)(\S+)"
-# Two lines with words, without going back over a long line.
-SEVERAL = r"\A[^\p{L}\p{N}]*+[^\n]*+\n[^\p{L}\p{N}]*+[\p{L}\p{N}]"
 
 
 def blocks(docs: DataFrame, anchors: list[str]) -> DataFrame:
-    """Blocks of several lines with an anchor: ``doc_id``, ``first`` (line
-    number), ``block``."""
-    def feeds(p: Column) -> Column:
-        return F.length(p) - F.length(F.replace(p, F.lit("\n"), F.lit("")))
-
-    pieces = docs.select("doc_id", F.split("text", BREAK).alias("pieces"))
-    each = pieces.select("doc_id", F.transform("pieces", feeds).alias("feeds"), F.posexplode("pieces").alias("i", "block"))
-    return (each.where(F.col("block").rlike(SEVERAL) & anchored(F.col("block"), anchors))
-            .select("doc_id", F.aggregate(F.slice("feeds", F.lit(1), F.col("i")), F.lit(0), lambda a, b: a + b)
-                    .alias("first"), "block"))
+    """Blocks of several lines with words, up to one without, that hold an
+    anchor: ``doc_id``, ``first`` (line number), ``block``. A text's lines are
+    parted once and each is copied into one block at most."""
+    lines = once(docs, "lines", F.split("text", "\n")).drop("text")
+    empty = F.array_compact(F.transform("lines", lambda x, i: F.when(~x.rlike(r"[\p{L}\p{N}]"), i)))
+    bounds = once(lines, "bounds", F.concat(F.array(F.lit(-1)), empty, F.array(F.size("lines"))))
+    runs = F.zip_with("bounds", F.slice("bounds", F.lit(2), F.size("bounds")),
+                      lambda a, b: F.struct((a + 1).alias("first"), (b - a - 1).alias("n")))
+    several = F.transform(F.filter(runs, lambda r: r["n"] > 1), lambda r: F.struct(
+        r["first"].alias("first"), F.array_join(F.slice("lines", r["first"] + 1, r["n"]), "\n").alias("block")))
+    found = bounds.select("doc_id", F.explode(several).alias("b")).select("doc_id", "b.first", "b.block")
+    return found.where(anchored(F.col("block"), anchors))
 
 
 def rejoined(block: Column) -> Column:
@@ -353,22 +353,37 @@ def with_hits(df: DataFrame, enough: float) -> DataFrame:
 
 
 def windows_column(hits: Column, size: Column, enough: float) -> Column:
-    """Windows with enough of the template, the best first, none overlapping."""
+    """Windows with enough of the template, none overlapping; of two that
+    overlap the one with more of it, then the shorter."""
     span = 2 * size
 
     def window(h: Column, i: Column) -> Column:
         near = F.filter(F.slice(hits, i + 1, span), lambda g: g["pos"] < h["pos"] + span)
-        names = F.transform(near, lambda g: g["pair"])
-        last = F.element_at(near, F.array_max(F.transform(F.array_distinct(names), lambda p: F.array_position(names, p)))
-                            .cast("int"))
-        return F.struct((-(F.size(F.array_distinct(names)) + h["head"] + last["tail"])).alias("minus"),
-                        (last["pos"] - h["pos"]).alias("length"), h["pos"].alias("start"), last["pos"].alias("stop"),
-                        h["l1"].alias("l1"), last["l2"].alias("l2"))
-
-    found = F.array_sort(F.filter(F.transform(hits, window), lambda w: -w["minus"] >= enough * size))
-    return F.aggregate(found, F.slice(found, 1, 0), lambda kept, w: F.when(
-        F.exists(kept, lambda k: (w["start"] <= k["stop"]) & (k["start"] <= w["stop"])), kept)
-        .otherwise(F.concat(kept, F.array(w))))
+
+        def add(s: Column, g: Column) -> Column:          # up to the last pair not seen before
+            new = ~F.array_contains(s["seen"], g["pair"])
+            return F.struct(F.when(new, F.concat(s["seen"], F.array(g["pair"]))).otherwise(s["seen"]).alias("seen"),
+                            *[F.when(new, g[c]).otherwise(s[c]).alias(c) for c in ("pos", "l2", "tail")])
+
+        zero = F.struct(F.array().cast("array<string>").alias("seen"), *[F.lit(0).alias(c) for c in ("pos", "l2", "tail")])
+        return F.aggregate(near, zero, add, lambda s: F.struct(
+            (-(F.size(s["seen"]) + h["head"] + s["tail"])).alias("minus"), (s["pos"] - h["pos"]).alias("length"),
+            h["pos"].alias("start"), s["pos"].alias("stop"), h["l1"].alias("l1"), s["l2"].alias("l2")))
+
+    kind = "struct<minus:int,length:int,start:int,stop:int,l1:int,l2:int>"
+    found = F.array_sort(F.transform(F.filter(F.transform(hits, window), lambda w: -w["minus"] >= enough * size), lambda w: F.struct(
+        w["start"].alias("start"), w["stop"].alias("stop"), F.struct(w["minus"], w["length"]).alias("worth"), w.alias("w"))))
+
+    # from left to right: a window beats the last one if it overlaps it and is worth more
+    def step(state: Column, x: Column) -> Column:
+        now = state["now"]
+        apart = now.isNull() | (x["start"] > now["stop"])
+        better = x["worth"] < F.struct(now["minus"], now["length"])
+        return F.struct(F.when(apart & now.isNotNull(), F.concat(state["kept"], F.array(now))).otherwise(state["kept"]).alias("kept"),
+                        F.when(apart | better, x["w"].cast(kind)).otherwise(now).alias("now"))
+
+    start = F.struct(F.array().cast(f"array<{kind}>").alias("kept"), F.lit(None).cast(kind).alias("now"))
+    return F.aggregate(found, start, step, lambda s: F.when(s["now"].isNull(), s["kept"]).otherwise(F.concat(s["kept"], F.array(s["now"]))))
 
 
 def wrapped(docs: DataFrame, known: dict[str, list[list[str]]], anchors: list[str], enough: float,

@@ -313,3 +313,23 @@ def test_licence_notices_wrapped_over_lines(spark):
     assert len([r for r in got[n] if r.confirmed]) == 2 and len([r for r in got[n + 1] if r.confirmed]) == 3
     assert not any(r.lines > 1 for r in got.get(n + 2, []))
     assert not any(r.confirmed for d, rs in got.items() if d > n + 2 for r in rs)
+
+
+def test_licence_text_of_many_blocks(spark):
+    """A notices file: 16,000 blocks in a text of about a megabyte, and the
+    same notice 600 times in one block."""
+    import time
+
+    lines = {f: ts[0] for f, ts in licenses.TEMPLATES.items()}
+    many = "\n\n".join(f"package number {i}\n{lines['MIT']}" for i in range(16_000))
+    cut = textwrap.wrap(next(t for t in licenses.TEMPLATES["MIT"] if len(t) > 80), 72)
+    docs = make(spark, [many, "\n".join(cut * 600), "plain words of no matter"])
+    model = licenses.fit(make(spark, ["the rain fell on the quiet town all night", "nothing was ever said by them"] * 10))
+    began = time.time()
+    rows = licenses.scanned(docs, model).collect()
+    assert time.time() - began < 120                       # 19,200 lines; not a square of them
+    sure = [r for r in rows if r.confirmed]
+    assert sorted(r.paragraph for r in sure if r.doc_id == 0) == [3 * i + 1 for i in range(16_000)]
+    assert {r.family for r in sure} == {"MIT"}
+    held = sorted((r.paragraph, r.paragraph + r.lines) for r in sure if r.doc_id == 1)
+    assert len(held) == 600 and all(a <= k * len(cut) + len(cut) // 2 < b for k, (a, b) in enumerate(held))
