@@ -174,14 +174,17 @@ def matched(docs: DataFrame, key: Callable[[Column], Column] = key_of, bucket_by
     plain = (by_hot.unionByName(by_key, allowMissingColumns=True).where(alone | (F.col("links") == 1))
              .withColumn("keep_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")))
              .withColumn("group_size", F.coalesce("group_size", F.lit(1))).select(*columns))
-    # chains: the bytes decide which link a document is
+    # chains: the bytes decide which link a document is (texts move for that
+    # only where there are chains at all)
     chains = index.entries.where("links > 1")
-    keyed = base.texts_of(docs).withColumn("key", key(F.col("text")))
-    chained = (keyed.join(chains.select("key").distinct(), "key", "left_semi")
-               .withColumn("row", -1 - F.monotonically_increasing_id())
-               .withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
-               .join(chains.select("key", "text", "link", "keep_id", "group_size"), ["key", "text"]).select(*columns))
-    found = land.put(plain.unionByName(chained), "found")
+    if not chains.isEmpty():
+        keyed = base.texts_of(docs).withColumn("key", key(F.col("text")))
+        chained = (keyed.join(chains.select("key").distinct(), "key", "left_semi")
+                   .withColumn("row", -1 - F.monotonically_increasing_id())
+                   .withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
+                   .join(chains.select("key", "text", "link", "keep_id", "group_size"), ["key", "text"]).select(*columns))
+        plain = plain.unionByName(chained)
+    found = land.put(plain, "found")
     # rows that share the id that stays and the text: the first stays
     best = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     tied = found.where(best & (F.col("group_size") > 1))
