@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runlens import schemas
+from runlens.operators.outputs import FIELDS, best_outputs, flat_outputs
 from runlens.schemas import BACKFILL_RESULTS, DELETED_NO, IN_FLIGHT_STATES, OUTPUT_RESULTS, TERMINAL_STATES
 
 
@@ -128,46 +129,25 @@ def select_new(payloads: DataFrame, starts: DataFrame, start_col: str = "start_t
     return joined.where(F.col(start_col) >= F.col("fetch_from")).select(*payloads.columns)
 
 
-def _one_output_per_run(outputs: DataFrame) -> DataFrame:
-    """Outputs keyed by task run id (long); a run id landed twice keeps one
-    whole document (the largest), so tasks cannot multiply."""
-    have = set(outputs.columns)
-    doc = F.struct(*[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c)
-                     for c in ("notebook_output", "error", "error_trace", "original_attempt_run_id")])
-    return (outputs.select(F.col("run_id").cast("long").alias("_rid"), doc.alias("_o"))
-            .where(F.col("_rid").isNotNull())
-            .groupBy("_rid").agg(F.max("_o").alias("_o")))
-
-
 def enrich_failures(tasks: DataFrame, outputs: DataFrame,
                     results: Sequence[str] = OUTPUT_RESULTS) -> DataFrame:
     """Attach failure output to failed tasks.
 
     For a task whose result is in ``results`` the output's notebook output,
     error, trace and original attempt id replace the task's own, where the
-    output has them; every other task keeps its own values (an output that
-    is missing never blanks them). Output ids are text in the documents and
-    are cast to long. Left join on the task run id: ids are unique, no hot
-    key; outputs exist only for failed tasks, a small side.
+    output has them (a failed fetch has its error text in all three); every
+    other task keeps its own values (an output that is missing never blanks
+    them). Outputs come flat or as documents; a task's several outputs are cut
+    to one (``outputs.best_outputs``), so tasks cannot multiply. Only failed
+    tasks are joined, by their unique run id; all others pass by.
     """
-    o = _one_output_per_run(outputs)
-    joined = tasks.join(o, tasks["task_run_id"] == o["_rid"], "left")
-    failed = F.col("task_state__result_state").isin(list(results))
-    fields = {  # task column: (output field, type)
-        "task_notebook_output": ("notebook_output", "string"),
-        "task_error": ("error", "string"),
-        "task_error_trace": ("error_trace", "string"),
-        "task_original_attempt_run_id": ("original_attempt_run_id", "long"),
-    }
-    cols = []
-    for c in tasks.columns:
-        if c in fields:
-            src, dtype = fields[c]
-            v = F.when(failed, F.coalesce(F.col(f"_o.{src}").cast(dtype), F.col(c))).otherwise(F.col(c))
-            cols.append(v.alias(c))
-        else:
-            cols.append(tasks[c])
-    return joined.select(*cols)
+    found = best_outputs(flat_outputs(outputs)).select(F.col("task_run_id").alias("_rid"), F.col("output").alias("_o"))
+    failed = F.coalesce(F.col("task_state__result_state").isin(list(results)), F.lit(False))
+    hit = tasks.where(failed).join(found, F.col("task_run_id") == F.col("_rid"), "left")
+    fields = {f"task_{f}": f for f in FIELDS}
+    hit = hit.select(*[F.coalesce(F.col(f"_o.{fields[c]}"), F.col(c)).alias(c) if c in fields else F.col(c)
+                       for c in tasks.columns])
+    return hit.unionByName(tasks.where(~failed))
 
 
 def backfill_candidates(tasks: DataFrame, batch: DataFrame,
@@ -194,9 +174,8 @@ def attempt_fills(tasks: DataFrame, batch: DataFrame, outputs: DataFrame,
     """(task_run_id, ``_a``): original attempt ids from the output documents
     for the backfill candidates that have one. Small: failed runs only."""
     cand = backfill_candidates(tasks, batch, results)
-    return (outputs.select(F.col("run_id").cast("long").alias("task_run_id"),
-                           F.col("original_attempt_run_id").cast("long").alias("_a"))
-            .where(F.col("task_run_id").isNotNull() & F.col("_a").isNotNull())
+    return (flat_outputs(outputs).select("task_run_id", F.col("output.original_attempt_run_id").alias("_a"))
+            .where(F.col("_a").isNotNull())
             .join(cand, "task_run_id", "left_semi")
             .groupBy("task_run_id").agg(F.max("_a").alias("_a")))
 

@@ -61,45 +61,6 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def with_homes(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str) -> DataFrame:
-    """Source rows with ``part_col`` set to the partition their key already
-    lives in (its home); new keys keep their own value. A key therefore
-    never moves between partitions, so no partition can lose its last row
-    (which dynamic partition overwrite could not express: an emptied
-    partition is simply not rewritten). The home lookup reads only the key
-    and partition columns of the target."""
-    keys = list(keys)
-    homes = (target.select(*keys, F.col(part_col).alias("_home"), F.lit(True).alias("_known"))
-             .join(source.select(*keys).distinct(), keys, "left_semi"))
-    out = source.join(homes, keys, "left")
-    # a known key's home may be the NULL partition
-    return out.select(*[F.when(F.col("_known"), F.col("_home")).otherwise(F.col(part_col)).alias(part_col)
-                        if c == part_col else F.col(c) for c in source.columns])
-
-
-def touched_partitions(source_homed: DataFrame, part_col: str) -> DataFrame:
-    """Partition values an upsert rewrites: those of the (homed) source
-    rows. One row per value (days), a small side."""
-    return source_homed.select(part_col).distinct()
-
-
-def upsert_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], part_col: str,
-                      order: Sequence[Column] | None = None) -> DataFrame:
-    """The new contents of the touched partitions only: written with dynamic
-    partition overwrite (``sources.tables.write_partitions``) they give the
-    same rows as a full ``upsert``, while untouched partitions are neither
-    read nor rewritten. Existing keys are updated in their home partition
-    (``with_homes``); ``source`` must carry ``part_col`` for new keys."""
-    keys = list(keys)
-    if order is not None:
-        source = latest_per_key(source, keys, order)
-    homed = with_homes(target, source, keys, part_col)
-    parts = touched_partitions(homed, part_col)
-    parts = parts.withColumnRenamed(part_col, "_part")
-    old = target.join(parts, F.col(part_col).eqNullSafe(F.col("_part")), "left_semi").select(*target.columns)
-    return upsert(old, homed, keys)
-
-
 def newest(target: DataFrame | None, source: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row to keep per key of ``source``: the first by ``order`` among the
     source's rows and the target's row. With an order that does not depend on

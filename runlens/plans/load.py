@@ -279,21 +279,6 @@ def publish_catalog(batch: Batch, settings) -> Published:
     return Published(paths, {name: df.count() for name, df in staged.items()})
 
 
-def with_day(df: DataFrame, ms_col: str, name: str = "start_day", unit: str = "day") -> DataFrame:
-    """Adds the start day (zone-free date of an epoch-ms column) as the
-    partition column; ``unit='month'`` gives the first day of the month for
-    tables too thin for daily partitions. Start 0 and no start (a task not yet
-    begun) fall on 1970-01-01, so there is no NULL partition. A row
-    keeps the value it was first loaded with (``upsert_partitions`` homes
-    keys), so the column is the start day at first load."""
-    from runlens.functions import millis_to_ts
-
-    day = F.coalesce(F.to_date(millis_to_ts(ms_col, ntz=True)), F.lit("1970-01-01").cast("date"))
-    if unit == "month":
-        day = F.trunc(day, "month")
-    return df.withColumn(name, day)
-
-
 def _existing(spark, path: str) -> DataFrame | None:
     """The table at ``path``, None if there is none. A table that is there but
     cannot be read raises."""
@@ -301,41 +286,3 @@ def _existing(spark, path: str) -> DataFrame | None:
     if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return None
     return spark.read.parquet(path)
-
-
-def publish_partitions(batch: Batch, runs_path: str, tasks_path: str, part: str = "start_day",
-                       unit: str = "day") -> Published:
-    """Apply a batch to day-partitioned tables in place.
-
-    Only the changed rows (``changed_runs``/``changed_tasks``) are upserted,
-    and only into the partitions they touch (``upsert_partitions``), written
-    with dynamic partition overwrite: a batch costs the days it touches, not
-    the whole history. The task table is written first and the run table
-    last; the run table carries the watermark, so if the job stops between
-    the two writes the next batch re-reads the same runs and the keyed
-    upserts make the repeat harmless.
-
-    Choose ``unit`` so a partition holds a useful amount of data at the
-    target scale (``day`` for a large history, ``month`` for thin tables):
-    per-partition costs (files, listing, commit) dominate tiny partitions.
-    """
-    from pyspark.sql import Observation
-
-    spark = batch.changed_runs.sparkSession
-    out_paths, counts = {}, {}
-    for name, path, changed, key, ms in (
-            ("task_run_details", tasks_path, batch.changed_tasks, "task_run_id", "task_start_time"),
-            ("job_run_details", runs_path, batch.changed_runs, "job_run_id", "job_start_time")):
-        # the changed rows are batch sized: written once, they feed the key
-        # check, the home lookup, the touched set and the upsert without
-        # re-running the batch plan, and no longer read the table being replaced
-        old = _existing(spark, path)
-        src = with_day(changed, ms, part, unit)
-        if old is not None:
-            src = stage(src, name)
-        U.check_unique(src, [key])
-        new = src if old is None else U.upsert_partitions(old, src, [key], part)
-        seen = Observation(name)
-        TB.write_partitions(new.observe(seen, F.count(F.lit(1)).alias("rows")), path, [part])
-        out_paths[name], counts[name] = path, seen.get["rows"]
-    return Published(out_paths, counts)

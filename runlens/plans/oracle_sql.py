@@ -374,37 +374,56 @@ runs_out AS (
   union all
   select job_run_id, job_id, job_start_time, job_end_time, job_run_duration, job_setup_duration,
     job_execution_duration, job_cleanup_duration, job_state__life_cycle_state, job_state__result_state
-  from new_runs),
-new_tasks AS MATERIALIZED (
-  select e.* from enriched e semi join new_runs n on n.job_run_id = e.task_job_run_id),
-old_tasks AS (
-  select t.task_run_id, t.task_job_run_id, t.task_start_time, t.task_state__result_state,
-    cast(null as varchar) task_error, t.task_original_attempt_run_id
-  from tasks t semi join snap s on s.job_run_id = t.task_job_run_id),
-tasks_up AS MATERIALIZED (
-  select o.* from old_tasks o anti join new_tasks n on n.task_run_id = o.task_run_id
-  union all
-  select task_run_id, task_job_run_id, task_start_time, task_state__result_state, task_error,
-    task_original_attempt_run_id
-  from new_tasks),
-cand AS MATERIALIZED ({cand}),
-src AS MATERIALIZED (
-  select c.task_run_id, max(cast(o.original_attempt_run_id as bigint)) a
-  from run_outputs o join (select distinct task_run_id from cand) c on c.task_run_id = cast(o.run_id as bigint)
-  where o.original_attempt_run_id is not null
-  group by 1)
-""".replace("{cand}", _backfill("tasks_up", "new_tasks"))
+  from new_runs)
+"""
 
 SQL["incremental_runs"] = _NEW_RUNS.strip() + """
 select job_run_id, job_id, job_start_time, job_end_time, job_run_duration, job_cleanup_duration,
   job_state__life_cycle_state, job_state__result_state
 from runs_out"""
-SQL["incremental_tasks"] = _NEW_RUNS.strip() + """
-select t.task_run_id, t.task_job_run_id, t.task_start_time, t.task_state__result_state, t.task_error,
-  coalesce(t.task_original_attempt_run_id, s.a) task_original_attempt_run_id
-from tasks_up t left join src s on s.task_run_id = t.task_run_id"""
+SQL["incremental_tasks"] = """
+new_ids AS (
+  select r.job_run_id from runs r join snap_starts s on s.job_id = r.job_id where r.job_start_time >= s.fetch_from),
+oldest AS (
+  select min(task_start_time) start from tasks
+  where task_start_time <> 0 and task_job_run_id in (select job_run_id from new_ids)),
+hit AS (
+  select distinct task_job_run_id from tasks, oldest
+  where task_start_time >= oldest.start and task_state__result_state in ('FAILED', 'TIMEDOUT', 'CANCELED'))
+select t.task_run_id, t.task_job_run_id, t.task_start_time, t.task_state__result_state,
+  case when n.job_run_id is not null and t.task_state__result_state = 'FAILED' then o.error end task_error,
+  case when n.job_run_id is not null and t.task_state__result_state = 'FAILED'
+      then coalesce(cast(o.original_attempt_run_id as bigint), t.task_original_attempt_run_id)
+    when h.task_job_run_id is not null then coalesce(t.task_original_attempt_run_id, cast(o.original_attempt_run_id as bigint))
+    else t.task_original_attempt_run_id end task_original_attempt_run_id
+from tasks t left join new_ids n on n.job_run_id = t.task_job_run_id
+  left join hit h on h.task_job_run_id = t.task_job_run_id
+  left join run_outputs o on cast(o.run_id as bigint) = t.task_run_id
+where n.job_run_id is not null or t.task_job_run_id in (select job_run_id from snapshot)"""
 
-SQL["incremental_in_place"] = SQL["incremental_tasks"]
+# every task with the output of its own, and the attempt ids of failed runs
+_TOLD = """
+select t.task_run_id, t.task_job_run_id, t.task_start_time, t.task_state__result_state,
+  case when t.task_state__result_state = 'FAILED' then o.lost end task_notebook_output,
+  case when t.task_state__result_state = 'FAILED' then coalesce(o.lost, o.error) end task_error,
+  case when t.task_state__result_state = 'FAILED' then coalesce(o.lost, o.error_trace) end task_error_trace,
+  case when t.task_state__result_state = 'FAILED' then coalesce(o.attempt, t.task_original_attempt_run_id)
+    else t.task_original_attempt_run_id end task_original_attempt_run_id
+from tasks t left join ({outputs}) o on o.task_run_id = t.task_run_id
+where t.task_job_run_id in ({runs})"""
+_FETCHED = ("select cast(run_id as bigint) task_run_id, error, error_trace, cast(original_attempt_run_id as bigint) attempt, "
+            "cast(null as varchar) lost from run_outputs")
+_LOST = ("select task_run_id, null, null, null, 'fetch failed ' || cast(task_run_id % 3 as varchar) from tasks "
+         "where task_state__result_state = 'FAILED' and task_key = 'task7'")
+SQL["incremental_in_place"] = _TOLD.format(outputs=_FETCHED, runs="""
+  select job_run_id from snapshot union
+  select r.job_run_id from runs r join (
+    select job_id, coalesce(max(case when job_state__life_cycle_state in ('TERMINATED', 'INTERNAL_ERROR') then job_start_time end), 0) wm
+    from snapshot group by job_id) w on w.job_id = r.job_id
+  where r.job_start_time >= w.wm and r.job_id in (select job_id from snap_monitored) union
+  select r.job_run_id from runs r
+  where r.job_id in (select job_id from snap_monitored) and r.job_id not in (select job_id from snapshot)""")
+SQL["stream_load"] = _TOLD.format(outputs=_FETCHED + " union all " + _LOST, runs="select job_run_id from runs")
 
 SQL["load_jobs_repeated"] = SQL["load_jobs"]
 
@@ -442,7 +461,7 @@ from statused"""
 ORACLE: dict[str, str] = {}
 for _k, _body in SQL.items():
     _b = _body.strip()
-    if _b.startswith(("new_runs AS", "untagged AS")):
+    if _b.startswith(("new_runs AS", "untagged AS", "new_ids AS")):
         ORACLE[_k] = "WITH " + FIXTURES.strip() + ",\n" + _b
     elif _b.lower().startswith("with "):
         ORACLE[_k] = "WITH " + FIXTURES.strip() + ",\n" + _b[5:]

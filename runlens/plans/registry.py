@@ -20,6 +20,7 @@ from runlens.operators import flatten as FL
 from runlens.operators import incremental as I
 from runlens.operators import tags as TG
 from runlens.operators import upsert as U
+from runlens.plans import daily as DY
 from runlens.plans import details as DT
 from runlens.plans import load as LD
 from runlens.plans import reports as R
@@ -341,31 +342,47 @@ def q_incremental_tasks(spark, sf):
         "task_original_attempt_run_id")
 
 
-def q_incremental_in_place(spark, sf):
-    """The earlier load written as day-partitioned tables, this batch applied
-    in place (only touched days rewritten), the task table read back."""
-    import os
+def _store(spark) -> str:
     import uuid
 
     from runlens.session import scratch_path
 
+    return scratch_path(spark, "runlens-store", uuid.uuid4().hex)
+
+
+TASK_RESULT = ["task_run_id", "task_job_run_id", "task_start_time", "task_state__result_state", "task_notebook_output",
+               "task_error", "task_error_trace", "task_original_attempt_run_id"]
+
+
+def q_incremental_in_place(spark, sf):
+    """The earlier load seeded as tables by day, then the payloads it may lack
+    and all outputs: days touched are rewritten, and outputs also reach the
+    failed tasks of the earlier load."""
     L = _L(spark, sf)
-    root = scratch_path(spark, "runlens-inplace", uuid.uuid4().hex)
-    runs_path, tasks_path = os.path.join(root, "runs"), os.path.join(root, "tasks")
     old_runs = I.conform_runs(_snapshot(spark, sf))
     old_tasks = I.conform_tasks(L.tasks.join(old_runs.select(F.col("job_run_id").alias("task_job_run_id")),
                                              "task_job_run_id", "left_semi"))
-    first = LD.Batch(old_runs, old_runs, L.run_payloads.limit(0), tasks=old_tasks, new_tasks=old_tasks,
-                     changed_tasks=old_tasks)
-    # six years of runs, a few thousand rows a day at most here: monthly partitions
-    LD.publish_partitions(first, runs_path, tasks_path, unit="month")
-    runs_now = spark.read.parquet(runs_path).drop("start_day")
-    tasks_now = spark.read.parquet(tasks_path).drop("start_day")
-    batch = LD.load_batch(L.jobs, runs_now, tasks_now, L.run_payloads, L.outputs)
-    LD.publish_partitions(batch, runs_path, tasks_path, unit="month")
-    return spark.read.parquet(tasks_path).select(
-        "task_run_id", "task_job_run_id", "task_start_time", "task_state__result_state", "task_error",
-        "task_original_attempt_run_id")
+    store = DY.open_store(spark, _store(spark))
+    # six years of runs, a few thousand rows a day at most here: months
+    DY.seed(store, old_runs, old_tasks, unit="month")
+    new = DY.select_payloads(store, L.jobs, PL.split_bad(L.run_payloads)[0])
+    DY.apply_batch(store, L.jobs, new, L.outputs, unit="month")
+    return DY.tasks_of(store).select(*TASK_RESULT)
+
+
+def _streamed(spark, sf):
+    from runlens.streaming import run_store_stream
+
+    runs, outputs = FX.land_stream(spark, sf)
+    base = _store(spark)
+    run_store_stream(spark, runs, outputs, _L(spark, sf).jobs, base, max_files_per_trigger=1, unit="month")
+    return DY.open_store(spark, base)
+
+
+def q_stream_load(spark, sf):
+    """All run payloads and outputs by file streams, a file of each at a time:
+    every failed task ends with its output, whichever came first."""
+    return DY.tasks_of(_streamed(spark, sf)).select(*TASK_RESULT)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -410,4 +427,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_runs": q_incremental_runs,
     "incremental_tasks": q_incremental_tasks,
     "incremental_in_place": q_incremental_in_place,
+    "stream_load": q_stream_load,
 }

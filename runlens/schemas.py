@@ -139,6 +139,7 @@ OUTPUT_PAYLOAD = struct_of(
     ("notebook_output", S),
     ("error", S),
     ("error_trace", S),
+    ("fetch_error", S),                  # landed in place of an output that could not be fetched
 )
 
 # The six keys of a task kept inside a run row (``job_tasks``).

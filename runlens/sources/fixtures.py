@@ -153,6 +153,37 @@ def run_outputs(tasks_df: DataFrame) -> DataFrame:
     )
 
 
+def output_documents(tasks_df: DataFrame) -> DataFrame:
+    """The same as documents (``OUTPUT_PAYLOAD``); where the fetch failed its
+    error text lands instead."""
+    rid = F.col("task_run_id")
+    good = run_outputs(tasks_df).select(
+        F.struct("run_id", "original_attempt_run_id").alias("metadata"), "error", "error_trace")
+    lost = tasks_df.where((F.col("task_state__result_state") == "FAILED") & (F.col("task_key") == "task7")).select(
+        F.struct(rid.cast("string").alias("run_id")).alias("metadata"),
+        F.concat(F.lit("fetch failed "), (rid % 3).cast("string")).alias("fetch_error"))
+    return good.select(F.to_json(F.struct("metadata", "error", "error_trace")).alias("value")).unionByName(
+        lost.select(F.to_json(F.struct("metadata", "fetch_error")).alias("value")))
+
+
+def land_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Folders of run payloads (three files) and output documents (two files)
+    as a scheduler would land them; an output may come files before or after
+    its run."""
+    import os
+
+    base = land(spark, sf_dir)
+    runs, outs = os.path.join(base, "stream_runs"), os.path.join(base, "stream_outputs")
+    with _LAND_LOCK:
+        if base not in _STREAMS:
+            (spark.read.text(os.path.join(base, "run_payloads")).repartition(3, F.get_json_object("value", "$.run_id"))
+             .write.mode("overwrite").text(runs))
+            (output_documents(spark.read.parquet(os.path.join(base, "tasks")))
+             .repartition(2, F.get_json_object("value", "$.metadata.run_id")).write.mode("overwrite").text(outs))
+            _STREAMS.add(base)
+    return runs, outs
+
+
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense 30-day run history in the run-table shape: one run per event.
     Sign-ups are runs still going (their duration is the time so far),
@@ -284,6 +315,7 @@ class Landed(NamedTuple):
 
 
 _LANDED: dict[tuple[str, str], str] = {}
+_STREAMS: set[str] = set()
 _LAND_LOCK = __import__("threading").Lock()
 _TABLES = ("versions", "jobs", "runs", "tasks", "outputs", "event_runs")
 

@@ -60,21 +60,6 @@ def write_version(df: DataFrame, base: str, table: str, version: str | int,
     return path
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition
-    overwrite); files are staged and swapped in at job commit, so the same
-    job may read the partitions it replaces, and a job that fails before its
-    commit leaves them as they were. The commit itself replaces folder by
-    folder: a stop in the middle of it can leave some partitions new and some
-    old, which the next run of the same keyed upsert puts right."""
-    # REBALANCE clusters each partition value into few files (not one file
-    # per task and value), and AQE still splits a value holding a third of
-    # the rows over several tasks.
-    (df.hint("rebalance", *partition_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-
-
 def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
     """Write a catalog table (created on the first run, replaced later). The
     rows must not come from the table itself: stage them first."""

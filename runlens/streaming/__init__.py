@@ -1,3 +1,3 @@
-from runlens.streaming.stream import batch_handler, last_version, read_version, run_stream
+from runlens.streaming.stream import batch_handler, last_version, read_version, run_store_stream, run_stream
 
-__all__ = ["batch_handler", "last_version", "read_version", "run_stream"]
+__all__ = ["batch_handler", "last_version", "read_version", "run_store_stream", "run_stream"]

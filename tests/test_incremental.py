@@ -147,37 +147,6 @@ def test_load_batch_nothing_new(spark):
     assert b.new_tasks.count() == 0
 
 
-def test_publish_partitions_in_place_equals_one_batch(spark):
-    import os
-    import uuid
-
-    from runlens.session import checkpoint_dir
-
-    root = os.path.join(checkpoint_dir(spark), "test-inplace", uuid.uuid4().hex)
-    runs_path, tasks_path = os.path.join(root, "runs"), os.path.join(root, "tasks")
-    jobs = spark.createDataFrame([(1, "no"), (2, "no")], JOBS)
-    day = 86_400_000
-    docs = [run_doc(1, 1, 1 * day, "RUNNING", None, ["SUCCESS"]),
-            run_doc(2, 1, 2 * day, "TERMINATED", "FAILED", ["FAILED", "SUCCESS"]),
-            run_doc(3, 2, 3 * day, "TERMINATED", "SUCCESS", ["SUCCESS"]),
-            run_doc(5, 2, day // 2, "TERMINATED", "SUCCESS", ["SUCCESS"])]   # day 0: below every bound later
-    later = [run_doc(1, 1, 1 * day, "TERMINATED", "SUCCESS", ["SUCCESS"]),
-             run_doc(4, 2, 5 * day, "TERMINATED", "CANCELED", ["CANCELED"])]
-    outputs = spark.createDataFrame([("20", "nb", "err", "tr", None), ("40", None, None, None, "39")], OUT)
-    a = LD.load_batch(jobs, None, None, payload_df(spark, docs), outputs)
-    LD.publish_partitions(a, runs_path, tasks_path)
-    runs_now, tasks_now = spark.read.parquet(runs_path), spark.read.parquet(tasks_path)
-    landed = docs[1:] + later           # run 1 is landed again, now finished
-    b = LD.load_batch(jobs, runs_now, tasks_now, payload_df(spark, landed), outputs)
-    pub = LD.publish_partitions(b, runs_path, tasks_path)
-    # runs from each job's bound on are re-read (days 1, 2, 3, 5); day 0 is neither read nor rewritten
-    assert pub.rows == {"task_run_details": 5, "job_run_details": 4}
-    one = LD.load_batch(jobs, None, None, payload_df(spark, landed), outputs)
-    got_runs = spark.read.parquet(runs_path).drop("start_day")
-    got_tasks = spark.read.parquet(tasks_path).drop("start_day")
-    assert rows(got_runs.select(*one.runs.columns)) == rows(one.runs)
-    assert rows(got_tasks.select(*one.tasks.columns)) == rows(one.tasks)
-
 
 def test_load_batch_dedupes_snapshots_of_one_run(spark):
     from pyspark.sql import functions as F
@@ -190,29 +159,6 @@ def test_load_batch_dedupes_snapshots_of_one_run(spark):
     assert rows(out.runs, "job_run_id", "job_state__life_cycle_state") == [(1, "TERMINATED")]
 
 
-def test_publish_partitions_task_that_starts_later_stays_single(spark):
-    import os
-    import uuid
-
-    from runlens.session import checkpoint_dir
-
-    root = os.path.join(checkpoint_dir(spark), "test-inplace", uuid.uuid4().hex)
-    runs_path, tasks_path = os.path.join(root, "runs"), os.path.join(root, "tasks")
-    jobs = spark.createDataFrame([(1, "no")], JOBS)
-    day = 86_400_000
-    pending = run_doc(1, 1, 3 * day, "RUNNING", None, ["SUCCESS"])
-    pending["tasks"][0]["start_time"] = 0                      # not started yet: day 1970-01-01
-    done = run_doc(1, 1, 3 * day, "TERMINATED", "SUCCESS", ["SUCCESS"])
-    none = spark.createDataFrame([], OUT)
-    a = LD.load_batch(jobs, None, None, payload_df(spark, [pending]), none)
-    LD.publish_partitions(a, runs_path, tasks_path)
-    b = LD.load_batch(jobs, spark.read.parquet(runs_path).drop("start_day"),
-                      spark.read.parquet(tasks_path).drop("start_day"), payload_df(spark, [done]), none)
-    LD.publish_partitions(b, runs_path, tasks_path)
-    tasks = spark.read.parquet(tasks_path)
-    assert rows(tasks, "task_run_id", "task_start_time") == [(10, 3 * day)]
-
-
 def test_state_path_equals_run_table_path(spark):
     jobs = spark.createDataFrame([(1, "no"), (2, "no"), (3, "yes")], JOBS)
     b1 = [run_doc(1, 1, 100, "RUNNING", None, ["SUCCESS"]), run_doc(2, 1, 200, "TERMINATED", "SUCCESS", []),

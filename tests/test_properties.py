@@ -25,20 +25,6 @@ def test_upsert_twice_is_once(spark, target, source):
     assert rows(once) == sorted(expect.values(), key=repr)
 
 
-@SETTINGS
-@given(target=keyed, source=keyed)
-def test_partition_upsert_equals_full_upsert(spark, target, source):
-    t, s = spark.createDataFrame(target, DDL), spark.createDataFrame(source, DDL)
-    part = rows(U.upsert_partitions(t, s, ["k"], "day"))
-    touched = {d for _, _, d in part}
-    table = part + [r for r in target if r[2] not in touched]      # what dynamic overwrite leaves
-    assert len({k for k, _, _ in table}) == len(table)              # no key twice
-    full = rows(U.upsert(t, s, ["k"]).select("k", "v"))
-    assert sorted(((k, v) for k, v, _ in table), key=repr) == full
-    home = {k: d for k, _, d in target}
-    assert all(d == home.get(k, d) for k, _, d in table)            # keys never move
-
-
 @SETTINGS
 @given(jobs=st.lists(st.integers(0, 5), unique=True, max_size=6),
        runs=st.lists(st.tuples(st.integers(0, 30), st.integers(0, 7)), unique_by=lambda r: r[0], max_size=20),

@@ -71,35 +71,3 @@ def test_fill_missing_only_nulls_and_no_fan_out(spark):
     source = spark.createDataFrame([("1", "11"), ("1", "12"), ("2", "99"), ("9", "90")], "run_id string, x string")
     out = U.fill_missing(target, source, "task_run_id", "a", source_key="run_id", source_column="x")
     assert rows(out) == [(1, 12), (2, 20), (3, None)]
-
-
-def test_upsert_partitions_keeps_keys_in_their_home(spark):
-    target = spark.createDataFrame([(1, "a", "d1"), (2, "b", "d1"), (3, "c", "d2"), (5, "e", "d5")],
-                                   "k long, v string, day string")
-    source = spark.createDataFrame([(2, "B", "d3"), (4, "D", "d4"), (5, "E", "d9")], "k long, v string, day string")
-    homed = U.with_homes(target, source, ["k"], "day")
-    assert rows(homed) == [(2, "B", "d1"), (4, "D", "d4"), (5, "E", "d5")]
-    part = U.upsert_partitions(target, source, ["k"], "day")
-    # partitions d1, d4, d5 come out whole; d2 is neither read nor rewritten; no partition empties
-    assert rows(part) == [(1, "a", "d1"), (2, "B", "d1"), (4, "D", "d4"), (5, "E", "d5")]
-    table = part.unionByName(target.where("day not in ('d1', 'd4', 'd5')"))
-    assert rows(table.select("k", "v")) == rows(U.upsert(target, source, ["k"]).select("k", "v"))
-
-
-def test_partition_upsert_with_missing_days(spark):
-    """Rows whose partition value is NULL, or arrives later: no row lost, no
-    key twice, the same keys as a full upsert."""
-    import datetime as dt
-
-    from runlens.operators.upsert import upsert, upsert_partitions
-
-    ddl = "k long, v string, d date"
-    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    old = spark.createDataFrame([(10, "a", None), (11, "a", None), (12, "a", d1), (13, "a", d2)], ddl)
-    new = spark.createDataFrame([(11, "b", d1), (20, "b", None), (21, "b", d2)], ddl)
-    part = upsert_partitions(old, new, ["k"], "d")
-    touched = {None, d2}
-    untouched = [r for r in old.collect() if r.d not in touched]
-    got = sorted([(r.k, r.v) for r in part.collect()] + [(r.k, r.v) for r in untouched])
-    assert got == sorted((r.k, r.v) for r in upsert(old, new, ["k"]).collect())
-    assert {r.k: r.d for r in part.collect()}[11] is None            # stays in its home
