@@ -47,10 +47,10 @@ from pyspark.sql import functions as F
 
 from . import base
 
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 KEEP = 400_000
 SHIFT = 32                       # an id pair is a << 32 | b
-BLOCK = 1 << 20                  # bytes of words whose matrices are made at a time
+BLOCK = 1 << 19                  # bytes of words whose matrices are made at a time
 WORD_ENDS = re.compile(r"(?<=\S) (?=\S)")
 ALIGNED = ("chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "at binary, times binary, pairs array<long>, docs array<long>")
