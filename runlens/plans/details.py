@@ -84,6 +84,34 @@ def run_details(tasks: DataFrame, runs: DataFrame, jobs: DataFrame,
     return joined.select(*detail_columns(keys, ntz))
 
 
+def view_sql(tasks: str, runs: str, jobs: str, tag_keys: Sequence[str] = VIEW_TAG_KEYS) -> str:
+    """The select of ``run_details`` over three catalog tables with all their
+    columns, as text."""
+    def elapsed(cols: Sequence[str]) -> str:
+        return " + ".join(cols)
+
+    parts = elapsed(("job_setup_duration", "job_execution_duration", "job_cleanup_duration"))
+    job_ms = f"if(coalesce(job_run_duration, 0) = 0, {parts}, job_run_duration)"
+    task_ms = elapsed(("task_setup_duration", "task_execution_duration", "task_cleanup_duration"))
+    cols = ["task_run_id", "job_run_id", "r.job_id", "job__name", "job_run_page_url"]
+    cols += [f"timestamp_millis(nullif({c}, 0)) as {c}" for c in TIME_COLUMNS]
+    cols += [f"floor(({job_ms}) / 1000) as job_elapsed_time_sec", f"floor(({task_ms}) / 1000) as task_elapsed_time_sec"]
+    cols += [f"floor({c} / 1000) as {c}_sec" for c in SECOND_COLUMNS]
+    cols += [*PASSTHROUGH, *[schemas.tag_column(k) for k in tag_keys]]
+    return (f"select {', '.join(cols)} from {tasks} t join {runs} r on t.task_job_run_id = r.job_run_id "
+            f"join {jobs} j on j.job_id = r.job_id")
+
+
+def create_catalog_view(spark, name: str, tasks: str, runs: str, jobs: str,
+                        tag_keys: Sequence[str] = VIEW_TAG_KEYS) -> str:
+    """Create or replace the run-detail view in the catalog: other sessions
+    see it, and it reads the tables as they are when it is read."""
+    if "." in name:
+        spark.sql(f"create schema if not exists {name.rsplit('.', 1)[0]}")
+    spark.sql(f"create or replace view {name} as {view_sql(tasks, runs, jobs, tag_keys)}")
+    return name
+
+
 def scalar_view(df: DataFrame) -> DataFrame:
     """Map and array columns as JSON text, for comparisons and exports."""
     simple = ("string", "bigint", "int", "double", "boolean", "timestamp", "timestamp_ntz", "date")

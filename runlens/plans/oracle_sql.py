@@ -147,6 +147,103 @@ def _backfill(tasks: str, batch: str) -> str:
         and task_state__result_state in ('FAILED', 'TIMEDOUT', 'CANCELED'))"""
 
 
+# All columns of flattened runs, tasks and jobs; maps and arrays as JSON text.
+RUN_SQL = {
+    **{c: f"r.{c}" for c in (
+        "job_cleanup_duration", "job_end_time", "job_execution_duration", "job_id", "job_run_duration", "job_run_id",
+        "job_setup_duration", "job_start_time", "job_state__life_cycle_state", "job_state__result_state")},
+    "job_creator_user_name": "'user' || (r.job_run_id % 7)",
+    "job_job_clusters": """'[{"job_cluster_key":"c' || (r.job_run_id % 3) || '"}]'""",
+    "job_job_parameters": """case when r.job_run_id % 4 <> 0 then '[{"name":"p","value":"' || (r.job_run_id % 5) || '"}]' end""",
+    "job_number_in_job": "r.job_run_id % 100",
+    "job_original_attempt_run_id": "r.job_run_id",
+    "job_overriding_parameters":
+        """case when r.job_run_id % 5 = 0 then '{"notebook_params":{"k":"' || (r.job_run_id % 9) || '"}}' end""",
+    "job_run_name": "'run ' || (r.job_run_id % 13)",
+    "job_run_page_url": "'https://jobs.example.com/run/' || r.job_run_id",
+    "job_run_type": "case when r.job_run_id % 2 = 0 then 'JOB_RUN' else 'SUBMIT_RUN' end",
+    "job_schedule":
+        """case when r.job_run_id % 3 = 0 then '{"quartz_cron_expression":"0 0 * * * ?","timezone_id":"UTC"}' end""",
+    "job_state__state_message": "'message ' || (r.job_run_id % 4)",
+    "job_state__user_cancelled_or_timedout": "case when r.job_run_id % 8 = 0 then 'true' else 'false' end",
+    "job_tasks": "coalesce(k.job_tasks, '[]')",
+    "job_trigger": "case when r.job_run_id % 3 = 0 then 'PERIODIC' else 'ONE_TIME' end",
+    "job_trigger_info": """case when r.job_run_id % 6 = 0 then '{"run_id":' || r.job_run_id || '}' end""",
+}
+RUN_TASKS = """(
+  select task_job_run_id, '[' || string_agg('{"cleanup_duration":' || task_cleanup_duration || ',"end_time":' || task_end_time
+    || ',"execution_duration":' || task_execution_duration || ',"run_id":' || task_run_id || ',"setup_duration":'
+    || task_setup_duration || ',"start_time":' || task_start_time || '}', ',' order by task_run_id) || ']' job_tasks
+  from tasks group by 1)"""
+TASK_SQL = {
+    **{c: f"t.{c}" for c in (
+        "task_cleanup_duration", "task_end_time", "task_execution_duration", "task_job_run_id", "task_run_id",
+        "task_setup_duration", "task_start_time", "task_key", "task_state__result_state", "task_original_attempt_run_id")},
+    **{c: "cast(null as varchar)" for c in ("task_notebook_output", "task_error", "task_error_trace", "task_run_job_task")},
+    "task_attempt_number": "t.task_run_id % 3",
+    "task_cluster_instance":
+        """'{"cluster_id":"cl-' || (t.task_run_id % 6) || '","spark_context_id":"' || (t.task_run_id % 11) || '"}'""",
+    "task_git_source": """case when t.task_run_id % 3 = 0 then '{"git_url":"https://git.example.com/r","git_branch":"main"}' end""",
+    "task_notebook_task": """'{"notebook_path":"/w/nb"}'""",
+    "task_run_if": "case when t.task_run_id % 2 = 0 then 'ALL_SUCCESS' else 'ALL_DONE' end",
+    "task_existing_cluster_id": "case when t.task_run_id % 4 = 0 then 'cl-' || (t.task_run_id % 6) end",
+    "task_depends_on": """case when t.task_key <> 'task1' then '[{"task_key":"task1"}]' end""",
+    "task_libraries": r"""case when t.task_run_id % 6 = 0 then '[{"pypi":"{\"package\":\"lib' || (t.task_run_id % 4) || '\"}"}]' end""",
+    "task_description": "case when t.task_run_id % 5 <> 0 then 'step ' || (t.task_run_id % 5) end",
+    "task_state__life_cycle_state": "'TERMINATED'",
+    "task_state__user_cancelled_or_timedout": "case when t.task_run_id % 8 = 0 then 'true' else 'false' end",
+    "task_state__state_message": "'message ' || (t.task_run_id % 4)",
+    "task_sql_task": """case when t.task_run_id % 7 = 0 then '{"warehouse_id":"w' || (t.task_run_id % 4) || '"}' end""",
+    "task_condition_task": """case when t.task_run_id % 10 = 0 then '{"op":"EQUAL_TO","left":"' || (t.task_run_id % 2) || '"}' end""",
+    "task_queue_duration": "t.task_run_id % 1000",
+    "task_pipeline_task": """case when t.task_run_id % 9 = 0 then '{"pipeline_id":"p' || (t.task_run_id % 4) || '"}' end""",
+}
+JOB_SQL = {
+    **{c: f"j.{c}" for c in (
+        "job_id", "created_time", "creator_user_name", "run_as_user_name", "job__name",
+        "job__schedule__quartz_cron_expression", "job__git_source__git_url", *TAG_COLS)},
+    "is_job_deleted": "'no'",
+    "job__schedule__pause_status": "case when j.job__schedule__quartz_cron_expression is not null then 'UNPAUSED' end",
+    "job__schedule__timezone_id": "case when j.job__schedule__quartz_cron_expression is not null then 'UTC' end",
+    "job__timeout_seconds": "cast(3600 as bigint)",
+    "job__git_source__git_branch": "case when j.job__git_source__git_url is not null then 'main' end",
+    "job__git_source__git_provider": "case when j.job__git_source__git_url is not null then 'gitHub' end",
+    "job__email_notifications__on_failure": """'["' || j.on_failure_email || '"]'""",
+    "job__email_notifications__on_success": """case when j.job_id % 8 = 0 then '["ok@example.com"]' end""",
+    "job__job_clusters": """case when j.job_id % 9 = 0 then '[{"job_cluster_key":"main"}]' end""",
+    "Job_link": f"'https://{Q.HOST}/jobs/' || j.job_id",
+}
+
+
+def _columns(exprs: dict[str, str]) -> str:
+    return ",\n  ".join(f"{e} {c}" for c, e in exprs.items())
+
+
+def _details_sql() -> str:
+    """The run-detail table: 72 columns."""
+    from runlens.plans.details import PASSTHROUGH, SECOND_COLUMNS, TIME_COLUMNS, VIEW_TAG_KEYS
+
+    failed = {f"task_{c}": f"case when t.task_state__result_state = 'FAILED' then o.{c} end" for c in ("error", "error_trace")}
+    failed["task_original_attempt_run_id"] = (
+        "case when t.task_state__result_state = 'FAILED' then coalesce(cast(o.original_attempt_run_id as bigint), "
+        "t.task_original_attempt_run_id) else t.task_original_attempt_run_id end")
+    every = JOB_SQL | RUN_SQL | TASK_SQL | failed
+    cols = {c: every[c] for c in ("task_run_id", "job_run_id", "job_id", "job__name", "job_run_page_url")}
+    cols |= {c: f"make_timestamp_ms(nullif({every[c]}, 0))" for c in TIME_COLUMNS}
+    cols["job_elapsed_time_sec"] = (
+        "cast(floor((case when coalesce(r.job_run_duration, 0) = 0 then r.job_setup_duration + r.job_execution_duration "
+        "+ r.job_cleanup_duration else r.job_run_duration end) / 1000) as bigint)")
+    cols["task_elapsed_time_sec"] = (
+        "cast(floor((t.task_setup_duration + t.task_execution_duration + t.task_cleanup_duration) / 1000) as bigint)")
+    cols |= {f"{c}_sec": f"cast(floor({every[c]} / 1000) as bigint)" for c in SECOND_COLUMNS}
+    cols |= {c: every[c] for c in PASSTHROUGH}
+    cols |= {f"job__tags__{k}": f"j.job__tags__{k}" for k in VIEW_TAG_KEYS}
+    return f"""select {_columns(cols)}
+from tasks t join runs r on t.task_job_run_id = r.job_run_id join jobs_norm j on j.job_id = r.job_id
+  left join {RUN_TASKS} k on k.task_job_run_id = r.job_run_id
+  left join run_outputs o on cast(o.run_id as bigint) = t.task_run_id"""
+
+
 SQL: dict[str, str] = {
     "latest_versions": """
 select workspace_id, job_id, name, tag_team, tag_type, change_time, version_id
@@ -156,32 +253,11 @@ from latest where delete_time is null""",
 select job_id from latest where delete_time is null and lower(name) = lower('{Q.FIND_NAME}')
 order by job_id limit 1""",
     "normalised_tags": f"select job_id, {', '.join(TAG_COLS)} from jobs_norm",
-    "flatten_jobs": f"""
-select job_id, created_time, creator_user_name, run_as_user_name, 'no' is_job_deleted, job__name,
-  case when job__schedule__quartz_cron_expression is not null then 'UNPAUSED' end job__schedule__pause_status,
-  job__schedule__quartz_cron_expression,
-  case when job__schedule__quartz_cron_expression is not null then 'UTC' end job__schedule__timezone_id,
-  {', '.join(TAG_COLS)},
-  cast(3600 as bigint) job__timeout_seconds,
-  case when job__git_source__git_url is not null then 'main' end job__git_source__git_branch,
-  case when job__git_source__git_url is not null then 'gitHub' end job__git_source__git_provider,
-  job__git_source__git_url,
-  'https://{Q.HOST}/jobs/' || cast(job_id as varchar) Job_link,
-  on_failure_email job__email_notifications__on_failure
-from jobs""",
-    "flatten_runs": """
-select r.job_run_id, r.job_id, r.job_start_time, r.job_end_time, r.job_run_duration, r.job_setup_duration,
-  r.job_execution_duration, r.job_cleanup_duration, r.job_state__life_cycle_state, r.job_state__result_state,
-  coalesce(t.n, 0) n_tasks, coalesce(t.ex, 0) tasks_execution_ms
-from runs r left join (
-  select task_job_run_id, count(*) n, sum(task_execution_duration) ex from tasks group by 1
-) t on t.task_job_run_id = r.job_run_id""",
-    "flatten_tasks": """
-select task_run_id, task_job_run_id, task_key, task_start_time, task_end_time, task_setup_duration,
-  task_execution_duration, task_cleanup_duration, task_original_attempt_run_id,
-  'TERMINATED' task_state__life_cycle_state, task_state__result_state,
-  '/w/nb' notebook_path, false has_base_parameters
-from tasks""",
+    "flatten_jobs": f"select {_columns(JOB_SQL)} from jobs j",
+    "flatten_runs": f"""
+select {_columns(RUN_SQL)}
+from runs r left join {RUN_TASKS} k on k.task_job_run_id = r.job_run_id""",
+    "flatten_tasks": f"select {_columns(TASK_SQL)} from tasks t",
     "json_props": "select event_id, cast(json_extract_string(props, '$.k') as bigint) k from events",
     "monitored_jobs": """
 select job_id from jobs where is_job_deleted = 'no'
@@ -235,28 +311,7 @@ select job_id,
   case when job_id in (select job_id from discovered) or job_id in (7, 14, 21) then is_job_deleted
        else 'yes' end is_job_deleted
 from jobs_norm""",
-    "run_details": f"""
-select t.task_run_id, r.job_run_id, r.job_id, j.job__name,
-  make_timestamp_ms(nullif(t.task_start_time, 0)) task_start_time,
-  make_timestamp_ms(nullif(t.task_end_time, 0)) task_end_time,
-  make_timestamp_ms(nullif(r.job_start_time, 0)) job_start_time,
-  make_timestamp_ms(nullif(r.job_end_time, 0)) job_end_time,
-  make_timestamp_ms(nullif(j.created_time, 0)) created_time,
-  cast(floor((case when coalesce(r.job_run_duration, 0) = 0
-    then r.job_setup_duration + r.job_execution_duration + r.job_cleanup_duration
-    else r.job_run_duration end) / 1000) as bigint) job_elapsed_time_sec,
-  cast(floor((t.task_setup_duration + t.task_execution_duration + t.task_cleanup_duration) / 1000) as bigint)
-    task_elapsed_time_sec,
-  cast(floor(t.task_cleanup_duration / 1000) as bigint) task_cleanup_duration_sec,
-  cast(floor(t.task_execution_duration / 1000) as bigint) task_execution_duration_sec,
-  cast(floor(t.task_setup_duration / 1000) as bigint) task_setup_duration_sec,
-  cast(floor(r.job_cleanup_duration / 1000) as bigint) job_cleanup_duration_sec,
-  cast(floor(r.job_execution_duration / 1000) as bigint) job_execution_duration_sec,
-  cast(floor(r.job_run_duration / 1000) as bigint) job_run_duration_sec,
-  cast(floor(r.job_setup_duration / 1000) as bigint) job_setup_duration_sec,
-  t.task_key, t.task_state__result_state, r.job_state__life_cycle_state, r.job_state__result_state,
-  j.run_as_user_name, j.job__git_source__git_url, {', '.join('j.' + c for c in TAG_COLS)}
-from tasks t join runs r on t.task_job_run_id = r.job_run_id join jobs_norm j on j.job_id = r.job_id""",
+    "run_details": _details_sql(),
     "inventory": """
 select job__tags__Team team, job__tags__Domain domain, job__tags__Priority priority, job__tags__Project project,
   count(*) n_jobs, count(distinct job__tags__Owner) n_owners
@@ -425,6 +480,7 @@ SQL["incremental_in_place"] = _TOLD.format(outputs=_FETCHED, runs="""
   where r.job_id in (select job_id from snap_monitored) and r.job_id not in (select job_id from snapshot)""")
 SQL["stream_load"] = _TOLD.format(outputs=_FETCHED + " union all " + _LOST, runs="select job_run_id from runs")
 
+SQL["details_view"] = SQL["run_details"]
 SQL["load_jobs_repeated"] = SQL["load_jobs"]
 
 # every eleventh job without tags, ids -5 to -1 of no job; only absent keys are set

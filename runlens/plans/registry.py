@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runlens import schemas
-from runlens.functions import ms_of
+from runlens.functions import millis_to_ts, ms_of
 from runlens.operators import discover as D
 from runlens.operators import flatten as FL
 from runlens.operators import incremental as I
@@ -77,11 +77,7 @@ def q_normalised_tags(spark, sf):
 
 def q_flatten_jobs(spark, sf):
     good, _bad = PL.split_bad(_L(spark, sf).job_payloads)
-    jobs = FL.flatten_jobs(good, host=HOST)
-    return jobs.select(
-        *[c for c in jobs.columns if c not in (
-            "job__email_notifications__on_failure", "job__email_notifications__on_success", "job__job_clusters")],
-        F.array_join("job__email_notifications__on_failure", ",").alias("job__email_notifications__on_failure"))
+    return DT.scalar_view(FL.flatten_jobs(good, host=HOST))
 
 
 def _parsed_runs(spark, sf):
@@ -90,23 +86,11 @@ def _parsed_runs(spark, sf):
 
 
 def q_flatten_runs(spark, sf):
-    r = FL.flatten_runs(_parsed_runs(spark, sf))
-    return r.select(
-        "job_run_id", "job_id", "job_start_time", "job_end_time", "job_run_duration", "job_setup_duration",
-        "job_execution_duration", "job_cleanup_duration", "job_state__life_cycle_state", "job_state__result_state",
-        F.size("job_tasks").cast("long").alias("n_tasks"),
-        F.aggregate("job_tasks", F.lit(0).cast("long"), lambda acc, t: acc + t["execution_duration"])
-         .alias("tasks_execution_ms"))
+    return DT.scalar_view(FL.flatten_runs(_parsed_runs(spark, sf)))
 
 
 def q_flatten_tasks(spark, sf):
-    t = FL.flatten_tasks(_parsed_runs(spark, sf))
-    return t.select(
-        "task_run_id", "task_job_run_id", "task_key", "task_start_time", "task_end_time", "task_setup_duration",
-        "task_execution_duration", "task_cleanup_duration", "task_original_attempt_run_id",
-        "task_state__life_cycle_state", "task_state__result_state",
-        F.col("task_notebook_task")["notebook_path"].alias("notebook_path"),
-        F.map_contains_key("task_notebook_task", "base_parameters").alias("has_base_parameters"))
+    return DT.scalar_view(FL.flatten_tasks(_parsed_runs(spark, sf)))
 
 
 def q_json_props(spark, sf):
@@ -206,15 +190,40 @@ def q_mark_missing(spark, sf):
     return out.select("job_id", "is_job_deleted")
 
 
+def _details(spark, sf) -> DataFrame:
+    """All columns of the run-detail table, from the landed payloads."""
+    L = _L(spark, sf)
+    payloads = _parsed_runs(spark, sf)
+    jobs = FL.normalise_tags(FL.flatten_jobs(PL.split_bad(L.job_payloads)[0], host=HOST))
+    tasks = I.enrich_failures(FL.flatten_tasks(payloads), L.outputs)
+    return DT.run_details(tasks, FL.flatten_runs(payloads), jobs, ntz=True)
+
+
 def q_run_details(spark, sf):
+    return DT.scalar_view(_details(spark, sf))
+
+
+BUCKET_COUNT = 8
+
+
+def q_details_view(spark, sf):
+    """The run-detail view of the catalog, over fact tables bucketed by run id."""
+    import os
+    import uuid
+
+    from runlens.sources import tables as TB
+
     L = _L(spark, sf)
-    d = DT.run_details(L.tasks, L.runs, _jobs_norm(spark, sf), ntz=True)
-    return d.select(
-        "task_run_id", "job_run_id", "job_id", "job__name", *DT.TIME_COLUMNS,
-        "job_elapsed_time_sec", "task_elapsed_time_sec", *[f"{c}_sec" for c in DT.SECOND_COLUMNS],
-        "task_key", "task_state__result_state", "job_state__life_cycle_state", "job_state__result_state",
-        "run_as_user_name", "job__git_source__git_url",
-        *[schemas.tag_column(k) for k in DT.VIEW_TAG_KEYS])
+    payloads = _parsed_runs(spark, sf)
+    tag, root = uuid.uuid4().hex[:12], _store(spark)
+    frames = {"task_run_details": I.enrich_failures(FL.flatten_tasks(payloads), L.outputs),
+              "job_run_details": FL.flatten_runs(payloads),
+              "job_details": FL.normalise_tags(FL.flatten_jobs(PL.split_bad(L.job_payloads)[0], host=HOST))}
+    names = {n: TB.save_table(df, f"runlens_{tag}.{n}", path=os.path.join(root, n),
+                              bucket_by=(BUCKET_COUNT, LD.BUCKETS[n]) if n in LD.BUCKETS else None) for n, df in frames.items()}
+    view = DT.create_catalog_view(spark, f"runlens_{tag}.run_details", *(names[n] for n in frames))
+    zoned = spark.table(view)
+    return DT.scalar_view(zoned.withColumns({c: millis_to_ts(F.unix_millis(c), ntz=True) for c in DT.TIME_COLUMNS}))
 
 
 def q_inventory(spark, sf):
@@ -406,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_tasks": q_upsert_tasks,
     "mark_missing": q_mark_missing,
     "run_details": q_run_details,
+    "details_view": q_details_view,
     "inventory": q_inventory,
     "top_failed_jobs": q_top_failed_jobs,
     "failure_trend": q_failure_trend,

@@ -117,16 +117,18 @@ def long_running(runs: DataFrame, now=None, days: int = 30, factor: float = 2.0,
 
 def latest_status(runs: DataFrame, ntz: bool = False) -> DataFrame:
     """R6: per job, the run with the greatest (start, run id) and its state.
-    A grouped ``max_by``: map-side partial aggregation, no sort of a job's
-    whole history."""
-    last = F.max_by(
-        F.struct("job_run_id", "job_start_time", "job_state__life_cycle_state", "job_state__result_state"),
-        F.struct("job_start_time", "job_run_id"))
-    return (runs.groupBy("job_id").agg(last.alias("_l"))
-            .select("job_id", F.col("_l.job_run_id").alias("job_run_id"),
-                    millis_to_ts("_l.job_start_time", ntz).alias("start_time"),
-                    F.col("_l.job_state__life_cycle_state").alias("life_cycle_state"),
-                    F.col("_l.job_state__result_state").alias("result_state")))
+
+    Three hash aggregates of fixed-width values, each with partial
+    aggregation, and no sort: a job's newest start, the greatest id among runs
+    with it, then that run by its key. The side joined to the runs has one row a
+    job, which AQE broadcasts where its measured size allows."""
+    newest = runs.groupBy("job_id").agg(F.max("job_start_time").alias("_start")).withColumnRenamed("job_id", "_job")
+    tied = runs.join(newest, F.col("job_id").eqNullSafe(F.col("_job")) & F.col("job_start_time").eqNullSafe(F.col("_start")))
+    last = tied.groupBy("_job").agg(F.max("job_run_id").alias("_run"))
+    out = runs.join(last, F.col("job_id").eqNullSafe(F.col("_job")) & (F.col("job_run_id") == F.col("_run")))
+    return out.select("job_id", "job_run_id", millis_to_ts("job_start_time", ntz).alias("start_time"),
+                      F.col("job_state__life_cycle_state").alias("life_cycle_state"),
+                      F.col("job_state__result_state").alias("result_state"))
 
 
 def standards_flags(jobs: DataFrame) -> DataFrame:

@@ -223,6 +223,51 @@ def runs_snapshot(runs_df: DataFrame, cut, band) -> DataFrame:
 
 # --- payload builders: flat rows back to nested scheduler documents ---------
 
+# Payload fields that the flat tables lack, from the ids they have. Objects
+# within string maps (a library's package) land as JSON text.
+RUN_FIELDS = {
+    "run_name": "concat('run ', job_run_id % 13)",
+    "run_page_url": "concat('https://jobs.example.com/run/', job_run_id)",
+    "run_type": "if(job_run_id % 2 = 0, 'JOB_RUN', 'SUBMIT_RUN')",
+    "number_in_job": "job_run_id % 100",
+    "original_attempt_run_id": "job_run_id",
+    "creator_user_name": "concat('user', job_run_id % 7)",
+    "trigger": "if(job_run_id % 3 = 0, 'PERIODIC', 'ONE_TIME')",
+    "trigger_info": "if(job_run_id % 6 = 0, named_struct('run_id', job_run_id), null)",
+    "schedule": "if(job_run_id % 3 = 0, map('quartz_cron_expression', '0 0 * * * ?', 'timezone_id', 'UTC'), null)",
+    "job_clusters": "array(map('job_cluster_key', concat('c', job_run_id % 3)))",
+    "job_parameters": "if(job_run_id % 4 <> 0, array(map('name', 'p', 'value', string(job_run_id % 5))), null)",
+    "overriding_parameters": "if(job_run_id % 5 = 0, named_struct('notebook_params', named_struct('k', string(job_run_id % 9))), null)",
+}
+STATE_FIELDS = {
+    "state_message": "concat('message ', {id} % 4)",
+    "user_cancelled_or_timedout": "if({id} % 8 = 0, 'true', 'false')",
+}
+TASK_FIELDS = {
+    "attempt_number": "task_run_id % 3",
+    "run_if": "if(task_run_id % 2 = 0, 'ALL_SUCCESS', 'ALL_DONE')",
+    "queue_duration": "task_run_id % 1000",
+    "description": "if(task_run_id % 5 <> 0, concat('step ', task_run_id % 5), null)",
+    "existing_cluster_id": "if(task_run_id % 4 = 0, concat('cl-', task_run_id % 6), null)",
+    "cluster_instance": "map('cluster_id', concat('cl-', task_run_id % 6), 'spark_context_id', string(task_run_id % 11))",
+    "git_source": "if(task_run_id % 3 = 0, map('git_url', 'https://git.example.com/r', 'git_branch', 'main'), null)",
+    "sql_task": "if(task_run_id % 7 = 0, map('warehouse_id', concat('w', task_run_id % 4)), null)",
+    "pipeline_task": "if(task_run_id % 9 = 0, map('pipeline_id', concat('p', task_run_id % 4)), null)",
+    "condition_task": "if(task_run_id % 10 = 0, map('op', 'EQUAL_TO', 'left', string(task_run_id % 2)), null)",
+    "depends_on": "if(task_key <> 'task1', array(map('task_key', 'task1')), null)",
+    "libraries": "if(task_run_id % 6 = 0, array(named_struct('pypi', named_struct('package', concat('lib', task_run_id % 4)))), null)",
+}
+
+
+def _fields(exprs: dict[str, str]) -> list[Column]:
+    return [F.expr(e).alias(c) for c, e in exprs.items()]
+
+
+def _state(life: Column, result: Column, id_col: str) -> Column:
+    extra = {c: e.format(id=id_col) for c, e in STATE_FIELDS.items()}
+    return F.struct(life.alias("life_cycle_state"), result.alias("result_state"), *_fields(extra)).alias("state")
+
+
 def job_payloads(jobs_df: DataFrame) -> DataFrame:
     """One JSON document per job (column ``payload``). Tags carry two keys
     that are not kept (``CostCenter`` and lower-case ``team``)."""
@@ -244,7 +289,9 @@ def job_payloads(jobs_df: DataFrame) -> DataFrame:
             F.lit("gitHub").alias("git_provider"),
             F.col("job__git_source__git_url").alias("git_url"),
         )).alias("git_source"),
-        F.struct(F.col("job__email_notifications__on_failure").alias("on_failure")).alias("email_notifications"),
+        F.struct(F.col("job__email_notifications__on_failure").alias("on_failure"),
+                 F.expr("if(job_id % 8 = 0, array('ok@example.com'), null)").alias("on_success")).alias("email_notifications"),
+        F.expr("if(job_id % 9 = 0, array(map('job_cluster_key', 'main')), null)").alias("job_clusters"),
     )
     doc = F.struct(
         "job_id", "created_time", "creator_user_name", "run_as_user_name", settings.alias("settings"),
@@ -257,17 +304,14 @@ def task_struct() -> Column:
     return F.struct(
         F.col("task_run_id").alias("run_id"),
         F.col("task_key").alias("task_key"),
-        F.lit(0).cast("long").alias("attempt_number"),
         F.col("task_start_time").alias("start_time"),
         F.col("task_end_time").alias("end_time"),
         F.col("task_setup_duration").alias("setup_duration"),
         F.col("task_execution_duration").alias("execution_duration"),
         F.col("task_cleanup_duration").alias("cleanup_duration"),
         F.col("task_original_attempt_run_id").alias("original_attempt_run_id"),
-        F.struct(
-            F.lit("TERMINATED").alias("life_cycle_state"),
-            F.col("task_state__result_state").alias("result_state"),
-        ).alias("state"),
+        _state(F.lit("TERMINATED"), F.col("task_state__result_state"), "task_run_id"),
+        *_fields(TASK_FIELDS),
         F.create_map(F.lit("notebook_path"), F.lit("/w/nb"),
                      F.lit("base_parameters"), F.lit("{}")).alias("notebook_task"),
     )
@@ -281,7 +325,7 @@ def run_payloads(runs_df: DataFrame, tasks_df: DataFrame) -> DataFrame:
     small whatever the table size. Runs without tasks have no ``tasks`` key.
     """
     per_run = (tasks_df.groupBy(F.col("task_job_run_id").alias("job_run_id"))
-               .agg(F.collect_list(task_struct()).alias("tasks")))
+               .agg(F.array_sort(F.collect_list(task_struct()), lambda a, b: (a["run_id"] - b["run_id"]).cast("int")).alias("tasks")))
     r = runs_df.join(per_run, "job_run_id", "left")
     doc = F.struct(
         F.col("job_id"),
@@ -292,10 +336,8 @@ def run_payloads(runs_df: DataFrame, tasks_df: DataFrame) -> DataFrame:
         F.col("job_execution_duration").alias("execution_duration"),
         F.col("job_cleanup_duration").alias("cleanup_duration"),
         F.col("job_run_duration").alias("run_duration"),
-        F.struct(
-            F.col("job_state__life_cycle_state").alias("life_cycle_state"),
-            F.col("job_state__result_state").alias("result_state"),
-        ).alias("state"),
+        _state(F.col("job_state__life_cycle_state"), F.col("job_state__result_state"), "job_run_id"),
+        *_fields(RUN_FIELDS),
         F.col("tasks"),
     )
     return r.select("job_run_id", "job_id", F.to_json(doc).alias("payload"))

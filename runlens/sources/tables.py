@@ -60,14 +60,24 @@ def write_version(df: DataFrame, base: str, table: str, version: str | int,
     return path
 
 
-def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
+               bucket_by: tuple[int, str] | None = None, path: str | None = None) -> str:
     """Write a catalog table (created on the first run, replaced later). The
-    rows must not come from the table itself: stage them first."""
+    rows must not come from the table itself: stage them first. With
+    ``bucket_by`` (number, column) rows are dealt by that column into sorted
+    buckets, so joins and groups on it need no shuffle; ``path`` keeps the files
+    in a folder of the caller's."""
     spark = df.sparkSession
     if "." in name:
         spark.sql(f"create schema if not exists {name.rsplit('.', 1)[0]}")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        # one file a bucket, not one a task and bucket
+        writer = df.repartition(bucket_by[0], bucket_by[1]).write.mode("overwrite").format("parquet")
+        writer = writer.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return name

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from conftest import rows
+from runlens import schemas
 from runlens.plans import details as DT
 
 TASKS = ("task_run_id long, task_job_run_id long, task_start_time long, task_end_time long, "
@@ -51,3 +52,47 @@ def test_run_details_ntz_is_zone_free(spark):
 def test_scalar_view(spark):
     out = DT.scalar_view(DT.run_details(*frames(spark)))
     assert all(t in ("string", "bigint", "timestamp", "timestamp_ntz") for _, t in out.dtypes)
+
+
+def test_catalog_view_over_bucketed_tables(spark):
+    """The view is seen by another session, has 72 columns and the rows of
+    ``run_details``; its fact tables are joined without a shuffle."""
+    import uuid
+
+    from runlens.operators import incremental as I
+    from runlens.plans import load as LD
+    from runlens.sources import tables as TB
+
+    db = f"v{uuid.uuid4().hex[:10]}"
+    tasks = spark.range(40).selectExpr("id as task_run_id", "id % 12 as task_job_run_id", "id * 1500 as task_execution_duration",
+                                       "0L as task_setup_duration", "0L as task_cleanup_duration", "0L as task_start_time")
+    runs = spark.range(10).selectExpr("id as job_run_id", "id % 3 as job_id", "id * 86400000 as job_start_time", "0L as job_run_duration",
+                                      "2500L as job_setup_duration", "1L as job_execution_duration", "id as job_cleanup_duration")
+    jobs = spark.range(2).selectExpr("id as job_id", "concat('job', id) as job__name", "'data' as job__tags__Team")
+    frames = {"task_run_details": I.conform_tasks(tasks), "job_run_details": I.conform_runs(runs),
+              "job_details": I.conform(jobs, schemas.job_schema())}
+    names = [TB.save_table(df, f"{db}.{n}", bucket_by=(4, LD.BUCKETS[n]) if n in LD.BUCKETS else None) for n, df in frames.items()]
+    view = DT.create_catalog_view(spark, f"{db}.run_details", *names)
+    DT.create_catalog_view(spark, view, *names)                       # again: replaced
+    other = spark.newSession()
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    seen = other.table(view)
+    assert len(seen.columns) == 72
+    want = DT.run_details(tasks, runs, jobs)
+    assert seen.columns == want.columns
+    assert rows(DT.scalar_view(seen)) == rows(DT.scalar_view(want)) and seen.count() > 0
+    plan = other.sql(f"explain {DT.view_sql(*names)}").first()[0]
+    shuffles = [line for line in plan.splitlines() if "Exchange" in line]
+    assert shuffles and all("job_id" in line and "run_id" not in line for line in shuffles), plan
+
+
+def test_latest_status_ties_and_missing_starts(spark):
+    from runlens.plans import reports as R
+
+    runs = spark.createDataFrame(
+        [(1, 1, 5, "TERMINATED", "SUCCESS"), (2, 1, 5, "RUNNING", None), (3, 1, 4, "PENDING", None),
+         (4, 2, None, "PENDING", None), (5, 2, None, "RUNNING", None), (6, None, 1, "RUNNING", None)],
+        "job_run_id long, job_id long, job_start_time long, job_state__life_cycle_state string, job_state__result_state string")
+    out = R.latest_status(runs)
+    assert rows(out, "job_id", "job_run_id", "life_cycle_state") == [(1, 2, "RUNNING"), (2, 5, "RUNNING"), (None, 6, "RUNNING")]
+    assert "SortAggregate" not in out._jdf.queryExecution().toString()
