@@ -21,8 +21,8 @@ def session_of(df: DataFrame) -> SparkSession:
 class Landing:
     """Intermediate tables of one operator call, written as parquet below the
     folder in ``spark.checkpoint.dir``: executors that are lost later cost a
-    read, not a recomputation. ``drop`` removes a table that a later one
-    replaced; ``close`` removes all but those named."""
+    read, not a recomputation. ``drop`` removes tables that later ones
+    replaced; the others are left to the cluster's clean-up."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark

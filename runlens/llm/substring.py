@@ -10,10 +10,12 @@ with a smaller id. Three steps, each over whole texts:
    Anchors found in one document only rule their windows out.
 2. Suffix groups. The suffixes of the windows that are left are divided by
    prefixes of variable length: one word where that is rare, more words below
-   frequent ones, so that no group exceeds what a task holds. In a group the
-   suffixes are sorted by prefix and by their first ``min_words`` words; equal
-   neighbours are the leaves below one internal node of the group's subtree at
-   that depth, that is a repeat. Its smallest document keeps it.
+   frequent ones (counted over all texts), so that no group exceeds what a task
+   holds. In a group suffixes are brought together by a hash of their first
+   ``min_words`` words: those that agree are the leaves below one node of the
+   group's subtree at that depth, that is a repeat. Its smallest document keeps
+   it. The subtree itself, with its order and deeper nodes, is not built: one
+   depth is all that the cut needs.
 3. The covered words are cut from each text. Nodes along a document that
    follow each other cover its maximal repeats.
 
@@ -207,36 +209,51 @@ def prefix_route(w: W.Words, start: np.ndarray, heavy: list[np.ndarray], groups:
     return (W.mix(key) % np.uint64(groups)).astype(np.int64)
 
 
-def heavy_prefixes(texts: DataFrame, groups: int, size: int, sample_docs: int, levels: int) -> list[np.ndarray]:
-    """Prefixes too frequent for a group of their own, by length, estimated
-    from at most ``sample_docs`` texts. They only decide the grouping."""
-    rows = texts.select("text").limit(sample_docs)
+def heavy_prefixes(texts: DataFrame, groups: int, levels: int, land: base.Landing) -> list[np.ndarray]:
+    """Prefixes too frequent for a group of their own, by length, counted over
+    all texts: one more word only below those that are heavy themselves, and no
+    further pass once none is. They only decide the grouping."""
+    heavy: list[np.ndarray] = []
+    total = 0
 
-    def run(batches):
-        import pyarrow as pa
+    def counting(level: int, above: np.ndarray | None):
+        def run(batches):
+            import pyarrow as pa
 
-        for batch in batches:
-            for _, _, buf, offsets in W.slices(batch.column("text")):
-                w = W.scan(buf, offsets)
-                for level in range(1, levels + 1):
+            for batch in batches:
+                found = []
+                for _, _, buf, offsets in W.slices(batch.column("text")):
+                    w = W.scan(buf, offsets)
                     at, h = W.runs(w, level)
-                    u, c = np.unique(h, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(u), level), pa.int32()), pa.array(u.view(np.int64)), pa.array(c)],
-                        names=["level", "prefix", "n"])
-
-    counts = rows.mapInArrow(run, "level int, prefix long, n long").groupBy("level", "prefix").agg(F.sum("n").alias("n"))
-    total = counts.where("level = 1").agg(F.sum("n").alias("total")).first()["total"] or 0
-    # fewer than 4 * groups prefixes of a length can have such a share
-    got = counts.where(F.col("n") * F.lit(4 * groups) > F.lit(total)).select("level", "prefix").collect()
-    return [np.sort(np.array([r["prefix"] for r in got if r["level"] == k], np.int64).view(np.uint64))
-            for k in range(1, levels + 1)]
+                    if above is not None:
+                        under = np.zeros(len(w.hash), np.uint64)
+                        shorter, g = W.runs(w, level - 1)
+                        under[shorter] = g
+                        i = np.minimum(np.searchsorted(above, under[at]), len(above) - 1)
+                        h = h[above[i] == under[at]]
+                    found.append(h)
+                u, c = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c, pa.int64())], names=["prefix", "n"])
+        return run
+
+    for level in range(1, levels + 1):
+        counts = (texts.select("text").mapInArrow(counting(level, heavy[-1] if heavy else None), "prefix long, n long")
+                  .groupBy("prefix").agg(F.sum("n").alias("n")))
+        # fewer than 4 * groups prefixes of a length can have such a share
+        if level == 1:
+            counts = land.put(counts, "words")
+            total = counts.agg(F.sum("n")).first()[0] or 0
+        got = counts.where(F.col("n") * F.lit(4 * groups) > F.lit(total)).select("prefix").collect()
+        if not got:
+            break
+        heavy.append(np.sort(np.array([r["prefix"] for r in got], np.int64).view(np.uint64)))
+    return heavy
 
 
 # ------------------------------------------------------------ the operator
 
 def repeats(texts: DataFrame, size: int = MIN_WORDS, anchor: int = ANCHOR, group_rows: int = GROUP_ROWS,
-            sample_docs: int = 400, levels: int = 6) -> DataFrame:
+            levels: int = 6) -> DataFrame:
     """(doc_id, hashes of the windows that a document with a smaller id holds)."""
     spark = base.session_of(texts)
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -258,7 +275,8 @@ def repeats(texts: DataFrame, size: int = MIN_WORDS, anchor: int = ANCHOR, group
     shared = group_nodes(texts.mapInArrow(first_pass, PACKED).repartition(groups, "bucket"), later_only=False)
     land = base.Landing(spark, "substring")
     shared = land.put(shared.groupBy("doc_id").agg(F.collect_set("hash").alias("anchors")), "anchors")
-    heavy = heavy_prefixes(texts, groups, size, sample_docs, levels)
+    heavy = heavy_prefixes(texts, groups, levels, land)
+    land.drop("words")
 
     def second_pass(batches):
         for batch in batches:

@@ -191,10 +191,14 @@ def test_heavy_prefixes_only_change_the_grouping(spark):
     rows = passages(9)
     docs = make(spark, rows)
     texts = base.texts_of(docs).where("doc_id is not null")
-    heavy = substring.heavy_prefixes(texts, 2, 13, 400, 6)
-    assert len(heavy[0])
-    a = {r.doc_id: sorted(r.repeats) for r in substring.repeats(texts, sample_docs=0 + 1).collect()}
-    b = {r.doc_id: sorted(r.repeats) for r in substring.repeats(texts, sample_docs=400, group_rows=10).collect()}
+    # counts over all texts, one word more below heavy ones only
+    heavy = substring.heavy_prefixes(texts, 2, 6, base.Landing(spark, "test-heavy"))
+    assert 0 < len(heavy[0]) < 8
+    words = collections.Counter(x for _, t in rows if t for x in t.split())
+    total = sum(words.values())
+    assert len(heavy[0]) == sum(8 * n > total for n in words.values())
+    a = {r.doc_id: sorted(r.repeats) for r in substring.repeats(texts).collect()}
+    b = {r.doc_id: sorted(r.repeats) for r in substring.repeats(texts, group_rows=10).collect()}
     assert a == b
 
 
