@@ -48,8 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         if not path:
-            path = tempfile.mkdtemp(prefix="runlens-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", path)
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
         return path
     path = path or sc.getCheckpointDir()
     if not path and not sc.master.startswith("local"):
