@@ -480,6 +480,13 @@ SQL["incremental_in_place"] = _TOLD.format(outputs=_FETCHED, runs="""
   where r.job_id in (select job_id from snap_monitored) and r.job_id not in (select job_id from snapshot)""")
 SQL["stream_load"] = _TOLD.format(outputs=_FETCHED + " union all " + _LOST, runs="select job_run_id from runs")
 
+SQL["top_failed_daily"] = SQL["top_failed_jobs"]
+SQL["failure_trend_daily"] = SQL["failure_trend"].replace("event_runs", "runs")
+SQL["recurring_errors_daily"] = SQL["recurring_errors"]
+_TOOK = ("case when coalesce(job_run_duration, 0) = 0 then job_setup_duration + job_execution_duration + job_cleanup_duration "
+         "else job_run_duration end")
+SQL["long_running_daily"] = (SQL["long_running_now"].replace("event_runs", "runs")
+                             .replace("case when coalesce(job_run_duration, 0) = 0 then null else job_run_duration end", _TOOK))
 SQL["details_view"] = SQL["run_details"]
 SQL["load_jobs_repeated"] = SQL["load_jobs"]
 

@@ -226,6 +226,38 @@ def q_details_view(spark, sf):
     return DT.scalar_view(zoned.withColumns({c: millis_to_ts(F.unix_millis(c), ntz=True) for c in DT.TIME_COLUMNS}))
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _counted_store(spark, sf):
+    """A day store of all runs and enriched tasks, once a session and folder."""
+    from runlens.session import app_id
+
+    key = (app_id(spark), sf)
+    if key not in _STORES:
+        L = _L(spark, sf)
+        base = _store(spark)
+        DY.seed(DY.open_store(spark, base), L.runs, _enriched(spark, sf), unit="month")
+        _STORES[key] = base
+    return DY.open_store(spark, _STORES[key])
+
+
+def q_top_failed_daily(spark, sf):
+    return R.top_failed_jobs_daily(_counted_store(spark, sf).read("run_counts"), _jobs_norm(spark, sf), FAIL_FROM, FAIL_TO, k=TOP_K)
+
+
+def q_failure_trend_daily(spark, sf):
+    return R.failure_trend_daily(_counted_store(spark, sf).read("run_counts"))
+
+
+def q_recurring_errors_daily(spark, sf):
+    return R.recurring_errors_daily(_counted_store(spark, sf).read("error_counts"), _jobs_norm(spark, sf), ntz=True)
+
+
+def q_long_running_daily(spark, sf):
+    return DY.long_running(_counted_store(spark, sf), ntz=True)
+
+
 def q_inventory(spark, sf):
     return R.inventory(_jobs_norm(spark, sf))
 
@@ -420,6 +452,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_failed_jobs": q_top_failed_jobs,
     "failure_trend": q_failure_trend,
     "recurring_errors": q_recurring_errors,
+    "top_failed_daily": q_top_failed_daily,
+    "failure_trend_daily": q_failure_trend_daily,
+    "recurring_errors_daily": q_recurring_errors_daily,
+    "long_running_daily": q_long_running_daily,
     "long_running": q_long_running,
     "long_running_now": q_long_running_now,
     "latest_status": q_latest_status,

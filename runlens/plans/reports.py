@@ -50,6 +50,11 @@ def top_failed_jobs(runs: DataFrame, jobs: DataFrame, start, end, k: int = 10,
     in_window = ((F.col("job_start_time") >= ms_of(start)) & (F.col("job_start_time") < ms_of(end))
                  & F.col("job_state__result_state").isin(list(failed)))
     counts = runs.where(in_window).groupBy("job_id").agg(F.count("*").alias("failures"))
+    return _ranked(counts, jobs, k, dims)
+
+
+def _ranked(counts: DataFrame, jobs: DataFrame, k: int, dims: Sequence[str]) -> DataFrame:
+    """(job_id, failures) ranked within each dimension's values."""
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(schemas.tag_column(d)).alias("value"))
                       for d in dims])
     per_dim = (counts.join(jobs.select("job_id", *[schemas.tag_column(d) for d in dims]), "job_id")
@@ -115,6 +120,77 @@ def long_running(runs: DataFrame, now=None, days: int = 30, factor: float = 2.0,
     return out.withColumn("is_long", is_long)
 
 
+# ---------------------------------------------------- from daily counts
+#
+# ``run_counts`` (a row a job and day) and ``error_counts`` (a row a message,
+# job and day) are kept by the load for the days it rewrites (``plans.daily``).
+# The reports below read them instead of runs and tasks.
+
+def run_counts(runs: DataFrame, failed: Sequence[str] = ("FAILED",), finished: Sequence[str] = TERMINAL_STATES) -> DataFrame:
+    """Per job and start day: runs, failures, finished runs with a duration
+    and the sum of these, and the newest start."""
+    took = F.when(F.col("job_state__life_cycle_state").isin(list(finished)), job_elapsed_ms())
+    return (runs.groupBy("job_id", F.to_date(millis_to_ts("job_start_time", True)).alias("day"))
+            .agg(F.count("*").alias("runs"), F.count_if(F.col("job_state__result_state").isin(list(failed))).alias("failures"),
+                 F.count(took).alias("timed"), F.sum(took).alias("took_ms"), F.max("job_start_time").alias("newest")))
+
+
+def error_counts(tasks: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per message, job and day of the run's start: occurrences, first and
+    last task start (a start of 0 is none)."""
+    errs = tasks.where(F.col("task_error").isNotNull()).select("task_error", "task_start_time", "task_job_run_id")
+    at = F.nullif(F.col("task_start_time"), F.lit(0))
+    return (errs.join(runs.select("job_run_id", "job_id", "job_start_time"), F.col("task_job_run_id") == F.col("job_run_id"))
+            .groupBy("task_error", "job_id", F.to_date(millis_to_ts("job_start_time", True)).alias("day"))
+            .agg(F.count("*").alias("occurrences"), F.min(at).alias("first_ms"), F.max(at).alias("last_ms")))
+
+
+def top_failed_jobs_daily(counts: DataFrame, jobs: DataFrame, start, end, k: int = 10,
+                          dims: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """``top_failed_jobs`` for whole days, [start, end)."""
+    inside = (F.col("day") >= F.lit(str(start)).cast("date")) & (F.col("day") < F.lit(str(end)).cast("date"))
+    per_job = counts.where(inside & (F.col("failures") > 0)).groupBy("job_id").agg(F.sum("failures").alias("failures"))
+    return _ranked(per_job, jobs, k, dims)
+
+
+def failure_trend_daily(counts: DataFrame) -> DataFrame:
+    """``failure_trend`` from the counts."""
+    return (counts.groupBy("day").agg(F.sum("runs").alias("runs"), F.sum("failures").alias("failures"))
+            .withColumn("failure_rate", F.col("failures") / F.col("runs")))
+
+
+def recurring_errors_daily(errors: DataFrame, jobs: DataFrame, min_count: int = 2, ntz: bool = False) -> DataFrame:
+    """``recurring_errors`` of the runs of known jobs, from the counts. A job
+    counts once for a message, however many days it has it."""
+    known = errors.join(jobs.select("job_id").distinct(), "job_id", "left_semi")
+    per_job = known.groupBy("task_error", "job_id").agg(F.sum("occurrences").alias("n"), F.min("first_ms").alias("first_ms"),
+                                                        F.max("last_ms").alias("last_ms"))
+    return (per_job.groupBy(F.col("task_error").alias("error"))
+            .agg(F.sum("n").alias("occurrences"), F.count("*").alias("n_jobs"),
+                 millis_to_ts(F.min("first_ms"), ntz).alias("first_seen"), millis_to_ts(F.max("last_ms"), ntz).alias("last_seen"))
+            .where(F.col("occurrences") >= min_count))
+
+
+def long_running_daily(in_flight: DataFrame, counts: DataFrame, edge_runs: DataFrame, now_ms: int, days: int = 30,
+                       factor: float = 2.0, ntz: bool = False) -> DataFrame:
+    """``long_running`` at ``now_ms`` from the runs in flight and the counts:
+    whole days of the window come from the counts, its first and last day from
+    ``edge_runs`` (the runs of those two days)."""
+    since = now_ms - days * DAY_MS
+    first, last = -(-since // DAY_MS), now_ms // DAY_MS          # whole days: first .. last - 1
+    number = F.datediff("day", F.lit("1970-01-01").cast("date"))
+    whole = counts.where((number >= first) & (number < last)).select("job_id", "timed", "took_ms")
+    start, at = F.col("job_start_time"), F.floor(F.col("job_start_time") / DAY_MS)
+    edge = run_counts(edge_runs.where((start >= since) & (start < now_ms) & ((at < first) | (at >= last)))).select("job_id", "timed", "took_ms")
+    avg = (whole.unionByName(edge).groupBy("job_id").agg(F.sum("timed").alias("n"), F.sum("took_ms").alias("ms"))
+           .select("job_id", (F.col("ms") / F.col("n")).alias("avg_duration_ms")))
+    running = in_flight.select("job_run_id", "job_id", millis_to_ts("job_start_time", ntz).alias("start_time"),
+                               (F.lit(now_ms) - F.col("job_start_time")).cast("long").alias("elapsed_ms"))
+    out = running.join(avg, "job_id", "left")
+    is_long = F.coalesce(F.col("elapsed_ms") > F.lit(factor) * F.col("avg_duration_ms"), F.lit(False))
+    return out.withColumn("is_long", is_long)
+
+
 def latest_status(runs: DataFrame, ntz: bool = False) -> DataFrame:
     """R6: per job, the run with the greatest (start, run id) and its state.
 

@@ -212,3 +212,32 @@ def test_flat_and_document_outputs(spark):
     assert rows(b) == [(1, '{"result":"out 1"}', "e", "trace 1", 5, True), (2, "f", "f", "f", None, False)]
     twice = O.best_outputs(O.flat_outputs(out_docs(spark, [output(2, fetch_error="z"), output(2, "a"), output(2, "b")])))
     assert rows(twice.select("task_run_id", "output.error")) == [(2, "b")]
+
+
+def test_daily_counts_give_the_same_reports(spark):
+    """Kept by the load, through several batches that rewrite days: equal to
+    the reports over whole tables."""
+    from runlens.plans import reports as R
+
+    jobs = spark.createDataFrame([(1, "no", "a"), (2, "no", "b"), (3, "no", None)], JOBS + ", job__tags__Team string")
+    path = base(spark)
+
+    def doc(i, day, result, life="TERMINATED"):
+        d = run_doc(i, i % 3 + 1, day * DAY + i * 1000, life, result, [result or "SUCCESS", "FAILED"] if life == "TERMINATED" else [None])
+        return d | {"run_duration": 1000 * i if i % 2 else 0, "setup_duration": 5, "execution_duration": 10 * i, "cleanup_duration": 1}
+
+    first = [doc(i, i, "FAILED" if i % 2 else "SUCCESS") for i in range(1, 12)] + [doc(40, 40, None, "RUNNING"), doc(41, 39, None, "RUNNING")]
+    later = [doc(41, 39, "FAILED"), doc(12, 5, "FAILED"), doc(42, 41, None, "RUNNING"), doc(43, 10, "SUCCESS"), doc(44, 11, "FAILED")]
+    apply(spark, path, jobs, first, [output(10 * i + 1, f"e{i % 2}") for i in range(1, 12)])
+    apply(spark, path, jobs, later, [output(10 * i, f"e{i % 3}") for i in (1, 3, 41, 44)])
+    store = DY.open_store(spark, path)
+    runs, tasks, counts = DY.runs_of(store), DY.tasks_of(store), store.read("run_counts")
+    day = ("1970-01-03", "1970-01-12")
+    assert rows(R.top_failed_jobs_daily(counts, jobs, *day, dims=["Team"])) == rows(R.top_failed_jobs(runs, jobs, *day, dims=["Team"]))
+    assert rows(R.failure_trend_daily(counts)) == rows(R.failure_trend(runs, ntz=True))
+    details = DY.tasks_of(store).join(runs.drop("start_day"), F.col("task_job_run_id") == F.col("job_run_id")).join(jobs, "job_id")
+    details = details.withColumn("task_start_time", F.timestamp_millis(F.nullif("task_start_time", F.lit(0))))
+    got = R.recurring_errors_daily(store.read("error_counts"), jobs, 1)
+    assert rows(got) == rows(R.recurring_errors(details, 1)) and got.count() == 3
+    for now in (None, 41 * DAY + 7, 41 * DAY):
+        assert rows(DY.long_running(store, now)) == rows(R.long_running(runs, now))
