@@ -45,6 +45,24 @@ class Landing:
                 p.getFileSystem(conf).delete(p, True)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def batches(spark: SparkSession, mb: int | None) -> None:
+    """Bound the Arrow batches that Python tasks are given from now on by
+    bytes, whatever the length of texts (None: by Spark's number of rows only).
+    A bound that the session was given by others stays."""
+    now, own = spark.conf.get(BATCH_BYTES, None), spark.conf.get("runlens.llm.batches", None)
+    if now is not None and now != own:
+        return
+    if mb is None:
+        spark.conf.unset(BATCH_BYTES)
+        spark.conf.unset("runlens.llm.batches")
+    else:
+        spark.conf.set(BATCH_BYTES, str(mb << 20))
+        spark.conf.set("runlens.llm.batches", str(mb << 20))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -28,6 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import base
 from . import words as W
 
 ORDER = 5
@@ -338,6 +339,7 @@ def fit(docs: DataFrame, fit_docs: int = 400, calibration_docs: int = 150, order
     more for the rejection threshold and the scale of the score. Whole texts
     are read; an id that repeats counts once, by its smallest text. This is the
     bounded sample of labelled rows that a classifier may be fitted on."""
+    base.batches(docs.sparkSession, 4)
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     usable_rows = d.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                           & ~held_out(F.col("doc_id")))
@@ -353,9 +355,11 @@ def fit(docs: DataFrame, fit_docs: int = 400, calibration_docs: int = 150, order
            .where(F.col("h") / float(1 << 31) * F.col("n") <= 4 * most + 40)
            .withColumn("rank", F.row_number().over(order_by)).where(F.col("rank") <= most)
            .select("doc_id", "lang", "rank"))
-    # at most (fit_docs + calibration_docs) ids a language
+    # at most (fit_docs + calibration_docs) ids a language; dealt to all tasks,
+    # as such a small table would else come together in one
     sample = (usable_rows.join(F.broadcast(ids), ["doc_id", "lang"])
-              .groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text")))
+              .groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text"))
+              .repartition(base.shuffle_width(docs.sparkSession), "doc_id"))
     grams = grams_of(sample.where(F.col("rank") <= fit_docs), order).toPandas()
     langs = sorted(grams["lang"].unique().tolist())
     if not langs:
@@ -407,6 +411,7 @@ DETECTED = "doc_id long, lang_pred string, score double, cross_entropy double, r
 
 def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``lang_pred``, ``score``, ``cross_entropy``, ``rejected``."""
+    base.batches(docs.sparkSession, 4)
     kept = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
@@ -426,6 +431,7 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The documents that are not rejected, with all their columns as they are."""
+    base.batches(docs.sparkSession, 4)
     kept = docs.sparkSession.sparkContext.broadcast(vars(model))
     at = docs.columns.index(text_col)
 

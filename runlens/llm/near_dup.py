@@ -233,6 +233,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
             star_rounds: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``doc_id``, ``class_id`` (the smallest id of its class)."""
     spark = base.session_of(docs)
+    base.batches(spark, 4)
     land = base.Landing(spark, "near-dup")
     texts = base.texts_of(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     prof = land.put(profiles(texts, bands, rows), "profiles")

@@ -202,6 +202,7 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
            text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(pieces with their ids, places): join on (row, piece) for sequences."""
     spark = base.session_of(docs)
+    base.batches(spark, 4)
     land = base.Landing(spark, "packing")
     cut = land.put(pieces(docs, tokenizer, length, end_id, id_col, text_col), "pieces")
     lengths = cut.select("row", "piece", "length")

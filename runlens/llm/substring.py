@@ -256,6 +256,7 @@ def repeats(texts: DataFrame, size: int = MIN_WORDS, anchor: int = ANCHOR, group
             levels: int = 6) -> DataFrame:
     """(doc_id, hashes of the windows that a document with a smaller id holds)."""
     spark = base.session_of(texts)
+    base.batches(spark, None)       # a node is sent once a batch: larger ones send less
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(base.shuffle_width(spark), int(chars / 6 * 0.2 / group_rows) + 1)
 
