@@ -79,5 +79,6 @@ def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
         writer = writer.bucketBy(bucket_by[0], bucket_by[1]).sortBy(bucket_by[1])
     if path:
         writer = writer.option("path", path)
+    writer = writer.option("compression", "zstd")
     writer.saveAsTable(name)
     return name
