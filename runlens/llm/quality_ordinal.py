@@ -297,8 +297,9 @@ def fit(docs: DataFrame, grades: DataFrame, loss: float = 0.004, id_col: str = "
              .groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade")))
     rest = F.pmod(F.shiftright(F.xxhash64("doc_id", F.lit(5)), 9), F.lit(4)) == 0
     land = base.Landing(spark, "ordinal")
-    features = land.put(features_of(base.texts_of(docs, id_col, text_col).join(known, "doc_id").withColumn("rest", rest)),
-                        "features")
+    # the grades grow with the texts: never broadcast
+    texts = base.texts_of(docs, id_col, text_col).join(known.hint("merge"), "doc_id")
+    features = land.put(features_of(texts.withColumn("rest", rest)), "features")
     # a row a grade
     counts = {(r["rest"], r["grade"]): r["n"] for r in
               features.groupBy("rest", "grade").agg(F.count("*").alias("n")).collect()}
