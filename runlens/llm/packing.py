@@ -36,6 +36,20 @@ LENGTH = 2048
 PIECES = "row long, doc_id long, piece int, start long, length long, ids binary"
 
 
+class _Kept(dict):
+    """Values worked out on first use, up to ``keep`` of them."""
+
+    def __init__(self, make, keep: int):
+        self.make, self.keep = make, keep
+
+    def __missing__(self, key):
+        got = self.make(key)
+        if len(self) >= self.keep:
+            self.clear()
+        self[key] = got
+        return got
+
+
 class WordTokenizer:
     """Token ids of whole texts from a word-wise BPE file of ``tokenizers``.
 
@@ -52,7 +66,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)      # control strings in a text give their own ids, as the file says
-        self.control = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        control = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.control = regex.compile("|".join(map(regex.escape, control)) or "(?!)").search
         self.model = self.whole.model
         self.find = regex.compile(self.PIECES).findall
         # the byte alphabet of byte-level BPE: printable bytes stand for
@@ -60,50 +75,31 @@ class WordTokenizer:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.keep = keep
-        self.parts: dict[str, bytes] = {"": b""}
-        self.runs: dict[str, bytes] = {}
+        self.parts, self.runs = _Kept(self.part, keep), _Kept(self.run, keep)
 
     def run(self, piece: str) -> bytes:
-        got = self.runs.get(piece)
-        if got is None:
-            shown = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.model.tokenize(shown)]
-            got = struct.pack("<%dI" % len(ids), *ids)
-            if len(self.runs) >= self.keep:
-                self.runs.clear()
-            self.runs[piece] = got
-        return got
+        """Of a piece without white space or unprintable characters."""
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack("<%dI" % len(ids), *ids)
 
     def slow(self, part: str) -> bytes:
         return np.array(self.whole.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     def part(self, part: str) -> bytes:
-        low = part.lower()
-        if any(c in part for c in self.control):
-            got = self.slow(part)
-        elif part.isascii() or "ƀ" > max(part):
+        if self.control(part):
+            return self.slow(part)
+        if part.isascii() or "ƀ" > max(part):
+            low = part.lower()
             if low.isalpha():                       # one run of letters
-                got = self.run(low)
-            elif low.isprintable() and "\xa0" not in low:
-                got = b"".join(map(self.run, self.find(low)))
-            else:
-                got = self.slow(part)
-        else:
-            got = self.slow(part)
-        if len(self.parts) >= self.keep:
-            self.parts = {"": b""}
-        self.parts[part] = got
-        return got
+                return self.runs[low]
+            if low.isprintable() and "\xa0" not in low:
+                return b"".join(map(self.runs.__getitem__, self.find(low)))
+        return self.slow(part)
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        get, part = self.parts.get, self.part
-        out = []
-        for p in text.replace("\n", " ").split(" "):
-            got = get(p)
-            out.append(part(p) if got is None else got)
-        return b"".join(out)
+        return b"".join(map(self.parts.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = 0, id_col: str = "doc_id",
