@@ -203,6 +203,35 @@ def test_seed_and_selection(spark):
         DY.seed(DY.open_store(spark, base(spark)), old.runs, lost)
 
 
+def test_seed_shuffles_only_columns_that_the_tables_have(spark, monkeypatch):
+    """Columns that a table lacks, and what later outputs need, are added after the
+    shuffle by day; the store is the one that whole rows give."""
+    runs = spark.createDataFrame([(1, 1, DAY, "TERMINATED"), (2, 1, 5 * DAY, "RUNNING")],
+                                 "job_run_id long, job_id long, job_start_time long, job_state__life_cycle_state string")
+    tasks = spark.createDataFrame([(1, 10, DAY, "FAILED", "boom", 7), (1, 11, DAY, "SUCCESS", None, None), (2, 20, 0, "FAILED", None, None)],
+                                  "task_job_run_id long, task_run_id long, task_start_time long, task_state__result_state string, task_error string, task_original_attempt_run_id long")
+    dealt, real = {}, DY.DayStore.put_days
+
+    def noted(self, version, name, content, **kw):
+        dealt.setdefault(name, set(content.columns))
+        return real(self, version, name, content, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(DY.DayStore, "put_days", noted)
+        narrow = DY.open_store(spark, base(spark))
+        DY.seed(narrow, runs, tasks)
+    assert dealt[DY.RUNS] == {*runs.columns, "start_day"}
+    assert dealt[DY.TASKS] == {*tasks.columns, "start_day", "run_failed"}
+    whole = DY.open_store(spark, base(spark))
+    DY.seed(whole, I.conform_runs(runs), I.conform_tasks(tasks))
+    for name in narrow.schemas:
+        assert narrow.read(name).columns == whole.read(name).columns
+        assert rows(narrow.read(name)) == rows(whole.read(name))
+    assert rows(narrow.read("open"), "task_run_id") == [(10,), (11,)]
+    assert rows(narrow.read(DY.TASKS), "task_run_id", "task_description", "own", "output") == [
+        (10, None, (None, "boom", None, 7), None), (11, None, (None,) * 4, None), (20, None, (None,) * 4, None)]
+
+
 def test_flat_and_document_outputs(spark):
     flat = spark.createDataFrame([("1", "nb", "e", "t", "5"), (None, "x", "x", "x", "1")],
                                  "run_id string, notebook_output string, error string, error_trace string, original_attempt_run_id string")

@@ -57,3 +57,12 @@ def test_tasks_pass_the_shuffle_flat(spark):
     plan = FX.run_payloads(L.runs, L.tasks)._jdf.queryExecution().optimizedPlan().toString()
     grouped = plan[plan.index("collect_list"):]
     assert "https://git.example.com" not in grouped and "notebook_path" not in grouped
+
+
+def test_a_line_passes_the_shuffle_with_one_start(spark):
+    """The start made for the order of lines is the task's; the ship date stays behind."""
+    sf = tables(spark)
+    plan = FX.tasks(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" not in plan[:plan.index("WindowGroupLimit")]
+    assert rows(FX.tasks(spark, sf), "task_run_id", "task_start_time", "task_end_time") == sorted([
+        (11, 915235200000, 915235203000), (12, 915235200000, 915235202000), (None, 915235200000, 915235203000)], key=repr)
