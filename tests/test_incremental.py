@@ -148,6 +148,46 @@ def test_load_batch_nothing_new(spark):
 
 
 
+def test_no_documents_are_shuffled_for_the_runs_of_many_jobs(spark, monkeypatch):
+    """More bounds than a broadcast takes: payloads are staged as they come, and the
+    run table is the same as with few jobs."""
+    jobs = spark.createDataFrame([(1, "no"), (2, "no"), (None, "no"), (3, "yes")], JOBS)
+    old = [run_doc(1, 1, 100, "RUNNING", None, ["SUCCESS"]), run_doc(2, 2, 300, "TERMINATED", "SUCCESS", ["SUCCESS"]),
+           run_doc(9, 1, 50, "TERMINATED", "SUCCESS", [])]
+    docs = [run_doc(1, 1, 100, "TERMINATED", "FAILED", ["FAILED"]), run_doc(3, 2, 200, "TERMINATED", "SUCCESS", ["SUCCESS"]),
+            run_doc(4, 2, 400, "TERMINATED", "SUCCESS", ["CANCELED"]), run_doc(5, 3, 400, "TERMINATED", "SUCCESS", ["SUCCESS"]),
+            run_doc(6, None, 400, "TERMINATED", "SUCCESS", []), run_doc(7, 1, None, "RUNNING", None, [])]
+    outputs = spark.createDataFrame([("10", "nb", "err", "tr", "5")], OUT)
+    a = LD.load_batch(jobs, None, None, payload_df(spark, old), spark.createDataFrame([], OUT))
+    payloads = spark.read.parquet(_written(payload_df(spark, docs)))
+    few = LD.load_batch(jobs, a.runs, a.tasks, payloads, outputs)
+
+    plans, stage = {}, LD.stage
+
+    def seen(df, name="stage", paths=None):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name, paths)
+
+    monkeypatch.setattr(LD, "stage", seen)
+    monkeypatch.setattr(LD, "FEW_JOBS", 0, raising=False)
+    many = LD.load_batch(jobs, a.runs, a.tasks, payloads, outputs)
+    assert not [name for name, plan in plans.items() if name != "starts" and "tasks" in plan and "Join" in plan]
+    narrow = many.runs.select("job_run_id", "job_state__life_cycle_state")._jdf.queryExecution()
+    assert "notebook_task" not in narrow.optimizedPlan().toString()
+    assert "ShuffledHashJoin" in narrow.executedPlan().toString()
+    assert rows(many.runs) == rows(few.runs) and rows(many.tasks) == rows(few.tasks)
+    assert rows(many.runs, "job_run_id", "job_state__life_cycle_state") == [
+        (1, "TERMINATED"), (2, "TERMINATED"), (4, "TERMINATED"), (9, "TERMINATED")]
+
+
+def _written(df) -> str:
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="runlens-payloads-") + "/p"
+    df.write.parquet(path)
+    return path
+
+
 def test_load_batch_dedupes_snapshots_of_one_run(spark):
     from pyspark.sql import functions as F
 

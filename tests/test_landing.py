@@ -59,6 +59,15 @@ def test_tasks_pass_the_shuffle_flat(spark):
     assert "https://git.example.com" not in grouped and "notebook_path" not in grouped
 
 
+def test_tasks_are_grouped_after_the_shuffle(spark):
+    """Lists of tasks are made of a partition's whole runs: none before it, where they would be sorted and spilled."""
+    L = FX.landed(spark, tables(spark))
+    plan = FX.run_payloads(L.runs, L.tasks)._jdf.queryExecution().executedPlan().toString()
+    first = plan.index("partial_collect_list")
+    assert "Exchange hashpartitioning" in plan[first:]
+    assert "Exchange" not in plan[plan.index("collect_list"):first]
+
+
 def test_a_line_passes_the_shuffle_with_one_start(spark):
     """The start made for the order of lines is the task's; the ship date stays behind."""
     sf = tables(spark)
