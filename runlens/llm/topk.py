@@ -7,7 +7,10 @@ query, over all chunks, give a score that its k-th result reaches at least.
 Then, with that bound, each chunk reads the exact vectors in order of their
 upper bounds until its own k-th result is above all upper bounds that are
 left. Both steps go over blocks of queries and chunks of vectors; only k rows
-a query and chunk come out of either.
+a query and chunk come out of either. Chunks stay in their part; a block is
+copied to every part that has chunks of its length. Blocks and chunks meet by a
+merge join at any size: the planner sees the blocks' files, not the copies, and
+would broadcast all of these.
 
 Defined cases: vectors that are null or hold a null or non-finite component,
 and rows with a null id, take no part; an empty vector scores 0 with empty
@@ -80,13 +83,22 @@ def product(a: np.ndarray, b: np.ndarray, exact_floats: bool) -> np.ndarray:
     return a @ b.T
 
 
-def bounds(q: np.ndarray, cells: np.ndarray, low: int, width: int, floats: bool):
-    """Lower and upper bounds of every query's score with every vector."""
+def bounds(q: np.ndarray, cells: np.ndarray, low: int, width: int, floats: bool, upper: bool) -> np.ndarray:
+    """Upper or lower bounds of every query's score with every vector."""
     lo = cells.astype(np.int64) * width + low
     hi = lo + (width - 1)
     up, down = np.maximum(q, 0), np.minimum(q, 0)
-    return (product(up, lo, floats) + product(down, hi, floats),
-            product(up, hi, floats) + product(down, lo, floats))
+    if upper:
+        return product(up, hi, floats) + product(down, lo, floats)
+    return product(up, lo, floats) + product(down, hi, floats)
+
+
+def dealt(blocks: DataFrame, chunks: DataFrame) -> DataFrame:
+    """A copy of each block for every part with chunks of its length. Only the
+    list of parts by length is broadcast."""
+    parts = chunks.groupBy("dim").agg(F.collect_set("part").alias("parts"))
+    return (blocks.join(F.broadcast(parts), "dim").withColumn("part", F.explode("parts")).drop("parts")
+            .hint("merge"))
 
 
 def fits(vecs: DataFrame, width: int, dims: int) -> bool:
@@ -120,7 +132,6 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
     blocks = pack(asked, BLOCK, parts, low, width).select(
         "dim", F.col("ids").alias("q_ids"), F.col("exact").alias("q"))
     blocks = land.put(blocks.withColumn("block", F.xxhash64("q_ids", "dim")), "blocks")
-    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
 
     def table(raw: bytes, dim: int, kind=np.int64) -> np.ndarray:
         return np.frombuffer(raw, kind).reshape(-1, dim) if dim else None
@@ -132,7 +143,7 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
             for r in batch.to_pylist():
                 ids, qids, dim = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64), r["dim"]
                 if dim:
-                    lower, _ = bounds(table(r["q"], dim), table(r["cells"], dim, np.uint8), low, width, floats)
+                    lower = bounds(table(r["q"], dim), table(r["cells"], dim, np.uint8), low, width, floats, False)
                 else:
                     lower = np.zeros((len(qids), len(ids)), np.int64)
                 own = qids[:, None] == ids[None, :]
@@ -144,7 +155,7 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
                     [pa.array(np.full(len(flat), r["block"])), pa.array(np.repeat(np.arange(len(qids)), best.shape[1]), pa.int32()),
                      pa.array(flat)], names=["block", "q_at", "lower"])
 
-    scan = (chunks.select("part", "dim", "ids", "cells").join(blocks.select("block", "dim", "q_ids", "q", every), ["part", "dim"]))
+    scan = chunks.select("part", "dim", "ids", "cells").join(dealt(blocks, chunks), ["part", "dim"])
     rank = F.row_number().over(Window.partitionBy("block", "q_at").orderBy(F.col("lower").desc()))
     kth = (scan.mapInArrow(first, "block long, q_at int, lower long").withColumn("rank", rank)
            .where(F.col("rank") <= k).groupBy("block", "q_at")
@@ -163,7 +174,7 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
                 need = np.array(r["least"], np.int64)
                 if dim:
                     q, exact = table(r["q"], dim), table(r["exact"], dim)
-                    _, upper = bounds(q, table(r["cells"], dim, np.uint8), low, width, floats)
+                    upper = bounds(q, table(r["cells"], dim, np.uint8), low, width, floats, True)
                 else:
                     q, exact = np.zeros((len(qids), 0), np.int64), np.zeros((len(ids), 0), np.int64)
                     upper = np.zeros((len(qids), len(ids)), np.int64)
@@ -193,7 +204,7 @@ def search(rows: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_co
                                                      names=["query_id", "vec_id", "score", "row"])
 
     final = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    pairs = chunks.join(known.select("block", "dim", "q_ids", "q", "least", every), ["part", "dim"])
+    pairs = chunks.join(dealt(known, chunks), ["part", "dim"])
     return (pairs.mapInArrow(second, "query_id long, vec_id long, score long, row long")
             .groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)

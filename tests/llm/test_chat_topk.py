@@ -105,3 +105,14 @@ def test_scores_beyond_64_bits_raise(spark):
     df = spark.createDataFrame([(50, [1e20, 1.0]), (1, [1e20, 0.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError):
         topk.search(df, F.col("vec_id") % 50 == 0)
+
+
+def test_copies_of_query_blocks_are_not_broadcast(spark):
+    """The planner sees the blocks' files only; a block's copies, one for each
+    part with chunks of its length, are many times as large."""
+    rows = [(i, [float(i % 7), 1.0, -0.5]) for i in range(120)] + [(200, [1.0]), (201, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = topk.search(df, F.col("vec_id") % 50 == 0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [part" in plan, plan
+    assert {tuple(r) for r in out.collect()} == brute(rows)
