@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from runlens import schemas
 from runlens.plans import details as DT
@@ -96,3 +98,50 @@ def test_latest_status_ties_and_missing_starts(spark):
     out = R.latest_status(runs)
     assert rows(out, "job_id", "job_run_id", "life_cycle_state") == [(1, 2, "RUNNING"), (2, 5, "RUNNING"), (None, 6, "RUNNING")]
     assert "SortAggregate" not in out._jdf.queryExecution().toString()
+
+
+def _shuffled_by(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_many_jobs_meet_runs_before_tasks(spark):
+    """Runs and tasks that come twice, ids that are null: the same rows; joined
+    task runs are not shuffled on the job id."""
+    tasks, runs, jobs = frames(spark)
+    tasks = tasks.unionByName(tasks).unionByName(tasks.selectExpr("100 + task_run_id as task_run_id", "cast(null as long) as task_job_run_id",
+                                                                  *tasks.columns[2:]))
+    runs = (runs.unionByName(runs).unionByName(runs.withColumn("job_id", F.lit(2).cast("long")))
+            .unionByName(runs.withColumn("job_id", F.lit(None).cast("long"))).unionByName(runs.withColumn("job_run_id", F.lit(None).cast("long"))))
+    jobs = jobs.unionByName(jobs.withColumn("job_id", F.lit(2).cast("long"))).unionByName(jobs.withColumn("job__name", F.lit("again")))
+    jobs = jobs.unionByName(jobs.withColumn("job_id", F.lit(None).cast("long")))
+    want, got = DT.run_details(tasks, runs, jobs, ntz=True), DT.run_details(tasks, runs, jobs, ntz=True, many_jobs=True)
+    assert got.columns == want.columns
+    assert rows(DT.scalar_view(got)) == rows(DT.scalar_view(want)) and got.count() > 12
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = [x for x in _shuffled_by(DT.run_details(tasks, runs, jobs, many_jobs=True)) if "hashpartitioning(job_id" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert not wide
+
+
+def test_view_over_many_jobs_broadcasts_none(spark, monkeypatch):
+    """A job table's files may be far smaller than its rows."""
+    import uuid
+
+    from runlens.operators import incremental as I
+    from runlens.sources import tables as TB
+
+    monkeypatch.setattr(DT, "FEW_JOBS", 1, raising=False)
+    db = f"v{uuid.uuid4().hex[:10]}"
+    tasks, runs, jobs = frames(spark)
+    jobs = jobs.unionByName(jobs.withColumn("job_id", F.lit(2).cast("long")))
+    full = {"task_run_details": I.conform_tasks(tasks), "job_run_details": I.conform_runs(runs),
+            "job_details": I.conform(jobs, schemas.job_schema())}
+    names = [TB.save_table(df, f"{db}.{n}") for n, df in full.items()]
+    seen = spark.table(DT.create_catalog_view(spark, f"{db}.run_details", *names))
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [job_id" in plan, plan
+    assert rows(DT.scalar_view(seen)) == rows(DT.scalar_view(DT.run_details(tasks, runs, jobs)))
